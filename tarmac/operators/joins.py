@@ -1,0 +1,90 @@
+"""Joins (J1-J5), the joined flight table (D14) and model features."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from tarmac.functions import columns as C
+
+# A side is broadcast only when the optimizer's size estimate of its plan is
+# at most this many bytes; above it the join stays a shuffle join and AQE
+# decides at runtime from real sizes.
+BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
+
+
+def estimated_bytes(df: DataFrame) -> int | None:
+    """Optimizer size estimate of a plan (an upper bound for scans, filters,
+    projections and aggregates); None when unavailable."""
+    try:
+        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    except Exception:  # noqa: BLE001 - e.g. Spark Connect: no JVM handle
+        return None
+
+
+def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
+    """Broadcast hint behind a size check; otherwise leave the side as is."""
+    size = estimated_bytes(df)
+    if size is not None and size <= limit:
+        return F.broadcast(df)
+    return df
+
+
+# D14 (J1 + J2 + J3)
+def join_flights(flights: DataFrame, weather: DataFrame, airports: DataFrame,
+                 aircrafts: DataFrame, normalize_key: bool = False,
+                 distinct: bool = False) -> DataFrame:
+    """Flights x hourly weather x airport facts x aircraft facts (inner).
+
+    J1 (rounded_hour, airport) is a fact-to-fact shuffle join: both sides grow
+    with the data. J2/J3 join small dimensions and are broadcast behind a
+    size check. ``normalize_key`` lower-cases the flights' aircraft key (the
+    aircraft side is lower-cased by its cleaning; the reference leaves the
+    flight side as is). ``distinct`` adds the packaged job's final dedup.
+    """
+    if normalize_key:
+        flights = flights.withColumn("aircraft", F.lower("aircraft"))
+    out = flights.join(weather, ["rounded_hour", "airport"], "inner")
+    out = out.join(broadcast_if_small(airports), ["airport"], "inner").drop("time_diff")
+    out = out.join(broadcast_if_small(aircrafts), ["aircraft"], "inner")
+    return out.distinct() if distinct else out
+
+
+# J4 + J5 (scoring side)
+def join_live(flights: DataFrame, weather: DataFrame, airports: DataFrame) -> DataFrame:
+    """Live flights with airport facts (to = airport, both kept) and with the
+    live forecast ((rounded_hour, to) = (timestamp, location))."""
+    a = broadcast_if_small(airports)
+    out = flights.join(a, flights["to"] == a["airport"], "inner")
+    w = weather
+    return out.join(w, (out["rounded_hour"] == w["timestamp"]) & (out["to"] == w["location"]), "inner")
+
+
+# D15
+def flight_features(df: DataFrame, mode: str = "train") -> DataFrame:
+    """Model inputs from a joined table.
+
+    ``train``: status 'On Time'/'Delayed' -> 0/1, departure delay = actual -
+    scheduled, 15-minute flag, calendar parts of the scheduled arrival.
+    ``score``: blank actual departure -> scheduled, flight time from the
+    schedule, departure delay = scheduled - actual, calendar parts of the
+    scheduled departure (the reference's scoring convention).
+    """
+    if mode == "train":
+        out = df.withColumns({
+            "status": F.when(F.col("status") == "On Time", 0)
+                       .when(F.col("status") == "Delayed", 1),
+            "departure_delay": C.minutes_between("actual_time_departure", "scheduled_time_departure"),
+        })
+        out = out.withColumn("departure_delay_15", (F.col("departure_delay") > 15).cast("int"))
+        return out.withColumns(C.calendar_parts("scheduled_time_arrival"))
+    if mode == "score":
+        out = df.withColumn("actual_time_departure",
+                            F.coalesce(F.col("actual_time_departure"), F.col("scheduled_time_departure")))
+        out = out.withColumns({
+            "flight_time": C.hours_between("scheduled_time_arrival", "scheduled_time_departure"),
+            "departure_delay": C.minutes_between("scheduled_time_departure", "actual_time_departure"),
+        })
+        parts = C.calendar_parts("scheduled_time_departure")
+        return out.withColumns({k: v for k, v in parts.items() if not k.startswith("is_")})
+    raise ValueError("mode must be 'train' or 'score'")
