@@ -10,9 +10,13 @@ from tarmac.plans import tables as T
 from tarmac.plans.oracle import with_tables
 from tarmac.plans.registry import query
 
-FLIGHT_COLS = ("aircraft, \"date\", \"from\", \"to\", flight, flight_time, scheduled_time_departure, "
-               "actual_time_departure, scheduled_time_arrival, status, actual_time_arrival, from_city, "
-               "to_city, rounded_hour, airport, delay_time")
+JOINED_COLUMNS = [
+    "aircraft", "airport", "rounded_hour", "date", "from", "to", "flight", "flight_time",
+    "scheduled_time_departure", "actual_time_departure", "scheduled_time_arrival", "status",
+    "actual_time_arrival", "from_city", "to_city", "delay_time", "temperature", "dew_point",
+    "humidity", "wind_speed", "wind_gust", "pressure", "precip", "my_flightradar24_rating",
+    "arrival_delay_index", "departure_delay_index", "msn", "type", "airline", "age",
+]
 
 
 @query("d7_clean_flights", with_tables("flights_clean") + "SELECT * FROM flights_clean")
