@@ -7,6 +7,7 @@ from tarmac.plans import registry
 _MODULES = [
     "tarmac.plans.q_cleaning",
     "tarmac.plans.q_profile",
+    "tarmac.plans.q_functions",
 ]
 
 

@@ -155,7 +155,16 @@ joined AS (
   JOIN aircrafts_clean c ON f.aircraft = c.aircraft)
 """
 
+FLIGHTS_MSG = """
+flights_msg AS (
+  SELECT concat('"', concat_ws(',', flight, temp1, temp2, "date", "from", "to", aircraft, flight_time,
+         scheduled_time_departure, actual_time_departure, scheduled_time_arrival, temp3, status, temp4),
+         '\\n"') AS value
+  FROM flights_raw)
+"""
+
 _DEPENDS = {
+    "flights_msg": (["flights_raw"], FLIGHTS_MSG),
     "flights_clean": (["flights_raw"], FLIGHTS_CLEAN),
     "weather_obs": (["weather_raw"], WEATHER_OBS),
     "weather_one": (["weather_obs"], WEATHER_ONE),
