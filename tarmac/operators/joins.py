@@ -56,7 +56,7 @@ def join_live(flights: DataFrame, weather: DataFrame, airports: DataFrame) -> Da
     live forecast ((rounded_hour, to) = (timestamp, location))."""
     a = broadcast_if_small(airports)
     out = flights.join(a, flights["to"] == a["airport"], "inner")
-    w = weather
+    w = weather.drop("date")  # the flight's date stays the row's date
     return out.join(w, (out["rounded_hour"] == w["timestamp"]) & (out["to"] == w["location"]), "inner")
 
 

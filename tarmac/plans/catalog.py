@@ -8,6 +8,7 @@ _MODULES = [
     "tarmac.plans.q_cleaning",
     "tarmac.plans.q_profile",
     "tarmac.plans.q_functions",
+    "tarmac.plans.q_ml",
 ]
 
 

@@ -163,8 +163,62 @@ flights_msg AS (
   FROM flights_raw)
 """
 
+FLIGHTS_LIVE = """
+flights_live AS (
+  WITH c AS (SELECT string_split(value, ',') AS v FROM flights_msg),
+  s AS (SELECT v[1] AS flight, try_strptime(v[4], '%d %b %Y')::DATE AS "date", v[5] AS "from", v[6] AS "to",
+               v[7] AS aircraft, v[8] AS flight_time, v[9] AS std, v[10] AS atd, v[11] AS sta, v[13] AS status FROM c),
+  t AS (
+    SELECT DISTINCT flight, "date",
+      lower(substr(string_split("from", ' (')[2], 1, 3)) AS "from", lower(substr(string_split("to", ' (')[2], 1, 3)) AS "to",
+      aircraft, flight_time,
+      try_strptime(concat_ws(' ', strftime("date", '%Y-%m-%d'), std), '%Y-%m-%d %H:%M') AS scheduled_time_departure,
+      try_strptime(concat_ws(' ', strftime("date", '%Y-%m-%d'), atd), '%Y-%m-%d %H:%M') AS actual_time_departure,
+      try_strptime(concat_ws(' ', strftime("date", '%Y-%m-%d'), sta), '%Y-%m-%d %H:%M') AS scheduled_time_arrival,
+      status, lower(string_split("from", ' (')[1]) AS from_city, lower(string_split("to", ' (')[1]) AS to_city
+    FROM s)
+  SELECT * REPLACE (regexp_replace(flight, '\\\\?"', '', 'g') AS flight),
+         CASE WHEN scheduled_time_arrival IS NULL THEN NULL
+              ELSE CAST("date" AS TIMESTAMP) + to_hours(CAST((hour(scheduled_time_arrival)
+                   + CASE WHEN minute(scheduled_time_arrival) >= 30 THEN 1 ELSE 0 END) % 24 AS BIGINT)) END AS rounded_hour
+  FROM t)
+"""
+
+WEATHER_LIVE = """
+weather_live AS (
+  WITH p AS (
+    SELECT try_strptime(json_extract_string(value, '$.date'), '%Y-%m-%d %H:%M:%S') AS "timestamp",
+      try_cast(regexp_replace(json_extract_string(value, '$.details.feels_like'), '[^0-9]', '', 'g') AS INTEGER) AS temperature,
+      json_extract_string(value, '$.details.wind_direction') AS wind_direction,
+      try_cast(regexp_replace(json_extract_string(value, '$.details.wind_speed'), '[^0-9]', '', 'g') AS INTEGER) AS wind_speed,
+      try_cast(regexp_replace(json_extract_string(value, '$.details.humidity'), '[^0-9]', '', 'g') AS INTEGER) AS humidity,
+      try_cast(regexp_replace(json_extract_string(value, '$.details.cloud_cover'), '[^0-9]', '', 'g') AS INTEGER) AS cloud_cover,
+      try_cast(regexp_replace(json_extract_string(value, '$.details.rain_amount'), '[^0-9.]', '', 'g') AS FLOAT) AS precip,
+      '{location}' AS location
+    FROM weather_msg)
+  SELECT *, CAST("timestamp" AS DATE) AS "date" FROM p
+  WHERE "timestamp" IS NOT NULL AND temperature IS NOT NULL AND wind_direction IS NOT NULL AND wind_speed IS NOT NULL
+    AND humidity IS NOT NULL AND cloud_cover IS NOT NULL AND precip IS NOT NULL)
+"""
+
+# Airport whose hourly forecast the live weather messages carry in the
+# registered queries (the live stream holds one airport's forecast).
+LIVE_LOCATION = "a05"
+
+LIVE_JOINED = """
+live_joined AS (
+  SELECT f.*, a.my_flightradar24_rating, a.arrival_delay_index, a.departure_delay_index, a.airport,
+         w."timestamp", w.temperature, w.wind_direction, w.wind_speed, w.humidity, w.cloud_cover, w.precip, w.location
+  FROM flights_live f
+  JOIN airports_clean a ON f."to" = a.airport
+  JOIN weather_live w ON f.rounded_hour = w."timestamp" AND f."to" = w.location)
+"""
+
 _DEPENDS = {
     "flights_msg": (["flights_raw"], FLIGHTS_MSG),
+    "flights_live": (["flights_msg"], FLIGHTS_LIVE),
+    "weather_live": (["weather_msg"], WEATHER_LIVE.replace("{location}", LIVE_LOCATION)),
+    "live_joined": (["flights_live", "airports_clean", "weather_live"], LIVE_JOINED),
     "flights_clean": (["flights_raw"], FLIGHTS_CLEAN),
     "weather_obs": (["weather_raw"], WEATHER_OBS),
     "weather_one": (["weather_obs"], WEATHER_ONE),
