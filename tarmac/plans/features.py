@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tarmac.ml.codes import apply_label_codes, fit_label_codes
+from tarmac.ml.split import stratified_split
 from tarmac.operators import flights, joins, nulls, weather
 from tarmac.plans import tables as T
 from tarmac.plans.oracle import LIVE_LOCATION
@@ -38,12 +39,26 @@ def encoded_training(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     """Training table with the categorical columns replaced by codes, and
     the code table."""
     f = training_features(spark, sf_dir)
-    codes = fit_label_codes(f, ENCODED_COLUMNS)
+    codes = T.materialize(fit_label_codes(f, ENCODED_COLUMNS))
     enc = apply_label_codes(f, codes, ENCODED_COLUMNS, strip_flight=False)
     enc = enc.drop(*ENCODED_COLUMNS).withColumnsRenamed({f"{c}_encoded": c for c in ENCODED_COLUMNS})
     return enc, codes
 
 
+_MODEL_TABLES: dict = {}
+
+
+def model_table(spark, sf_dir, seed: int = 42, test_fraction: float = 0.2) -> tuple[DataFrame, DataFrame]:
+    """Encoded training table with the stratified ``is_test`` flag (M4),
+    materialised once per session and input, and the code table."""
+    key = (id(spark), spark.sparkContext.applicationId, sf_dir, seed, test_fraction)
+    if key not in _MODEL_TABLES:
+        enc, codes = encoded_training(spark, sf_dir)
+        split = stratified_split(enc, "status", F.col("row_key"), test_fraction, seed)
+        _MODEL_TABLES[key] = (T.materialize(split), codes)
+    return _MODEL_TABLES[key]
+
+
 def live_joined(spark, sf_dir, location: str = LIVE_LOCATION) -> DataFrame:
     """Live flights (D12) x airport facts (J4) x live forecast."""
     fl = flights.clean_flights_stream(fixtures.flights_msg(spark, sf_dir))

@@ -113,7 +113,7 @@ FROM score s """ + " ".join(
     + ("trim(s.flight, '()')" if c == "flight" else f's."{c}"') for i, c in enumerate(ENCODED_COLUMNS)))
 def m2_apply_label_codes(spark, sf_dir):
     from tarmac.ml.codes import apply_label_codes
-    codes = fit_label_codes(FT.training_features(spark, sf_dir), ENCODED_COLUMNS)
+    codes = T.materialize(fit_label_codes(FT.training_features(spark, sf_dir), ENCODED_COLUMNS))
     s = apply_label_codes(FT.scoring_features(spark, sf_dir), codes, ENCODED_COLUMNS)
     return T.portable(s.select("flight", "rounded_hour", *[f"{c}_encoded" for c in ENCODED_COLUMNS]))
 
@@ -192,8 +192,7 @@ def m9_linear_regression_one_feature(spark, sf_dir):
 
 # ------------------------------------------------------------- model runs
 def _train_test(spark, sf_dir):
-    enc, codes = FT.encoded_training(spark, sf_dir)
-    split = stratified_split(enc, "status", F.col("row_key"), 0.2, SEED)
+    split, codes = FT.model_table(spark, sf_dir, SEED)
     return split.filter(~F.col("is_test")), split.filter(F.col("is_test")), codes
 
 
@@ -206,8 +205,8 @@ def _classifier_run(kind: str, **params):
 
 
 def _regression_data(spark, sf_dir):
-    enc, _ = FT.encoded_training(spark, sf_dir)
-    d = enc.filter(F.col("status") == 1).withColumn(
+    enc, _ = FT.model_table(spark, sf_dir, SEED)
+    d = enc.drop("is_test").filter(F.col("status") == 1).withColumn(
         "arrival_delay", (F.unix_timestamp("actual_time_arrival") - F.unix_timestamp("scheduled_time_arrival")) / 60)
     split = random_split(d, F.col("row_key"), 0.2, SEED)
     return split.filter(~F.col("is_test")), split.filter(F.col("is_test"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampType
 
 from tarmac.operators import dimensions, flights, joins, weather
-from tarmac.session import ensure_utc
+from tarmac.session import checkpoint_dir, ensure_utc
 from tarmac.sources import fixtures
 
 
@@ -51,3 +51,13 @@ def portable(df: DataFrame) -> DataFrame:
         c = F.col(f"`{f.name}`")
         cols.append(c.cast("timestamp_ntz").alias(f.name) if isinstance(f.dataType, TimestampType) else c)
     return df.select(*cols)
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Cut the lineage of a table that later plans read several times (label
+    codes, the split training table): a reliable checkpoint in the cluster's
+    shared ``spark.checkpoint.dir``. Later plans start from the checkpoint,
+    so they stay small and a lost executor never re-runs the upstream
+    cleaning and joins."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

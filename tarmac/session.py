@@ -37,6 +37,9 @@ def get_session(
     if master:
         builder = builder.master(master)
     conf = dict(BASE_CONF)
+    if master and master.startswith("local"):
+        # Local mode: the driver JVM is the only executor.
+        conf["spark.driver.memory"] = os.environ.get("TARMAC_DRIVER_MEMORY", "16g")
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra_conf or {})
