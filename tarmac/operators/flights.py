@@ -119,9 +119,10 @@ def split_stream_line(messages: DataFrame, names: list[str]) -> DataFrame:
     return messages.select(*[F.get(cells, i).alias(n) for i, n in enumerate(names)])
 
 
-def clean_flights_stream(messages: DataFrame, midnight: str = "same_day") -> DataFrame:
+def clean_flights_stream(messages: DataFrame, midnight: str = "same_day", dedup: bool = True) -> DataFrame:
     """Live flights: message line -> columns, dates and clock times, route,
-    nearest hour, full-row dedup, quote strip. No label, delay or null drop."""
+    nearest hour, full-row dedup, quote strip. No label, delay or null drop.
+    ``dedup=False`` leaves deduplication to the caller (streaming modes)."""
     from tarmac.schemas import FLIGHTS_STREAM_COLUMNS
 
     df = split_stream_line(messages, FLIGHTS_STREAM_COLUMNS).select(
@@ -131,5 +132,7 @@ def clean_flights_stream(messages: DataFrame, midnight: str = "same_day") -> Dat
     df = with_clock_times(df, CLOCK_COLUMNS[:3])
     df = parse_route(df)
     df = with_rounded_hour(df, midnight=midnight)
+    if not dedup:
+        return df
     df = df.dropDuplicates()
     return df.withColumn("flight", C.strip_quotes("flight"))

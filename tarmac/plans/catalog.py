@@ -9,6 +9,7 @@ _MODULES = [
     "tarmac.plans.q_profile",
     "tarmac.plans.q_functions",
     "tarmac.plans.q_ml",
+    "tarmac.plans.q_io",
 ]
 
 
