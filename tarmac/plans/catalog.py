@@ -10,6 +10,7 @@ _MODULES = [
     "tarmac.plans.q_functions",
     "tarmac.plans.q_ml",
     "tarmac.plans.q_io",
+    "tarmac.plans.q_text",
 ]
 
 
