@@ -47,3 +47,58 @@ def d11_clean_reviews(spark, sf_dir):
 @query("d14_join_flights", with_tables("joined") + "SELECT * FROM joined")
 def d14_join_flights(spark, sf_dir):
     return T.portable(T.joined(spark, sf_dir))
+
+
+# ---------------------------------------------------------------- variants
+@query("d1_d2_d3_route_status_clocks", with_tables("flights_raw") + """
+SELECT lower(string_split("from", ' (')[1]) AS from_city, lower(substr(string_split("from", ' (')[2], 1, 3)) AS "from",
+       lower(string_split("to", ' (')[1]) AS to_city, lower(substr(string_split("to", ' (')[2], 1, 3)) AS "to",
+       string_split(status, ' ')[1] AS status, substring(status, length(status) - 4, 5) AS actual_time_arrival,
+       try_strptime(concat_ws(' ', strftime(try_strptime("date", '%d %b %Y')::DATE, '%Y-%m-%d'), scheduled_time_arrival),
+                    '%Y-%m-%d %H:%M') AS scheduled_time_arrival
+FROM flights_raw""")
+def d1_d2_d3_route_status_clocks(spark, sf_dir):
+    r = T.raw(spark, sf_dir, "flights_raw").withColumn("date", C.parse_date("date"))
+    r = flights.with_clock_times(flights.parse_status(flights.parse_route(r)), ["scheduled_time_arrival"])
+    return T.portable(r.select("from_city", "from", "to_city", "to", "status", "actual_time_arrival",
+                               "scheduled_time_arrival"))
+
+
+@query("d4_round_to_hour_roll", with_tables("flights_clean") + """
+SELECT scheduled_time_arrival, date_trunc('hour', scheduled_time_arrival + INTERVAL 30 MINUTE) AS rounded_hour
+FROM flights_clean""")
+def d4_round_to_hour_roll(spark, sf_dir):
+    f = T.flights_clean(spark, sf_dir).select("scheduled_time_arrival")
+    return T.portable(flights.with_rounded_hour(f, midnight="roll"))
+
+
+@query("d5_d6_relabel_after_wrap", with_tables("flights_clean") + """
+SELECT flight, delay_time, CASE WHEN delay_time > 15 THEN 'Delayed' ELSE 'On Time' END AS status FROM flights_clean""")
+def d5_d6_relabel_after_wrap(spark, sf_dir):
+    f = T.flights_clean(spark, sf_dir, relabel=True)
+    return f.select("flight", "delay_time", "status")
+
+
+@query("d7_job_variant", with_tables("flights_raw", extra=["""
+p AS (SELECT aircraft, try_strptime("date", '%d %b %Y')::DATE AS d, "from", "to", flight, flight_time,
+             scheduled_time_departure, actual_time_departure, scheduled_time_arrival,
+             string_split(status, ' ')[1] AS st, substring(status, length(status) - 4, 5) AS ata
+      FROM flights_raw)""", """
+t AS (SELECT DISTINCT aircraft, d, lower(substr(string_split("from", ' (')[2], 1, 3)) AS fr,
+        lower(substr(string_split("to", ' (')[2], 1, 3)) AS tt, flight,
+        lower(string_split("from", ' (')[1]) AS from_city, lower(string_split("to", ' (')[1]) AS to_city,
+        try_strptime(concat_ws(' ', strftime(d, '%Y-%m-%d'), flight_time), '%Y-%m-%d %-H:%M') AS flight_time,
+        try_strptime(concat_ws(' ', strftime(d, '%Y-%m-%d'), scheduled_time_departure), '%Y-%m-%d %H:%M') AS std,
+        try_strptime(concat_ws(' ', strftime(d, '%Y-%m-%d'), actual_time_departure), '%Y-%m-%d %H:%M') AS atd,
+        try_strptime(concat_ws(' ', strftime(d, '%Y-%m-%d'), scheduled_time_arrival), '%Y-%m-%d %H:%M') AS sta,
+        try_strptime(concat_ws(' ', strftime(d, '%Y-%m-%d'), ata), '%Y-%m-%d %H:%M') AS ata, st
+      FROM p WHERE regexp_matches(st, 'Landed'))"""]) + """
+SELECT count(*) AS n_rows, count(flight_time) AS with_flight_time, count(date_diff('second', sta, ata)) AS with_delay,
+       count(*) FILTER (WHERE date_diff('second', sta, ata) / 60 > 15) AS delayed FROM t""")
+def d7_job_variant(spark, sf_dir):
+    """Packaged-job chain (flight_time as a timestamp, no wrap, no null
+    drop), profiled as counts."""
+    f = T.flights_clean(spark, sf_dir, variant="job")
+    return f.agg(F.count(F.lit(1)).alias("n_rows"), F.count("flight_time").alias("with_flight_time"),
+                 F.count("delay_time").alias("with_delay"),
+                 F.count_if(F.col("status") == "Delayed").alias("delayed"))

@@ -105,3 +105,25 @@ def t1_t5_flights_stream_job(spark, sf_dir):
               "rounded_hour timestamp, date date")
     back = spark.read.schema(schema).option("header", True).csv(out)
     return T.portable(back)
+
+
+@query("w7_union_by_position", with_tables("flights_raw") + "SELECT * FROM flights_raw")
+def w7_union_by_position(spark, sf_dir):
+    """Two slices whose columns carry other names, conformed to the raw
+    schema by position and unioned."""
+    r = T.raw(spark, sf_dir, "flights_raw")
+    a = r.filter(F.col("status").startswith("Landed")).toDF(*[f"a{i}" for i in range(len(r.columns))])
+    b = r.filter(~F.col("status").startswith("Landed")).toDF(*[f"b{i}" for i in range(len(r.columns))])
+    return readers.conform(a, FLIGHTS_HISTORY).unionAll(readers.conform(b, FLIGHTS_HISTORY))
+
+
+@query("t2_weather_stream_job", with_tables("weather_live") + "SELECT * FROM weather_live")
+def t2_weather_stream_job(spark, sf_dir):
+    """The live-weather stream job over message files, read back typed."""
+    from tarmac.plans.oracle import LIVE_LOCATION
+    src, out, ck = scratch(spark, "wmsgs"), scratch(spark, "weather_out"), scratch(spark, "weather_ck")
+    T.raw(spark, sf_dir, "weather_msg").write.text(src)
+    jobs.weather_stream_job(spark, out, ck, path=src, location=LIVE_LOCATION).awaitTermination()
+    schema = ("timestamp timestamp, temperature int, wind_direction string, wind_speed int, humidity int, "
+              "cloud_cover int, precip float, location string, date date")
+    return T.portable(spark.read.schema(schema).option("header", True).csv(out))

@@ -68,7 +68,7 @@ TRAIN_COLS = FEATURE_COLUMNS + ["status", "departure_delay_15", "is_year_start",
 SCORE_COLS = FEATURE_COLUMNS + ["aircraft", "rounded_hour"]
 
 
-@query("d15_features_train", with_tables("joined", extra=[TRAIN]) + "SELECT * EXCLUDE (row_key, arrival_delay) FROM train")
+@query("d15_f22_f23_features_train", with_tables("joined", extra=[TRAIN]) + "SELECT * EXCLUDE (row_key, arrival_delay) FROM train")
 def d15_features_train(spark, sf_dir):
     return FT.training_features(spark, sf_dir).select(*[F.col(f"`{c}`") for c in TRAIN_COLS])
 
@@ -85,7 +85,7 @@ def d12_clean_flights_stream(spark, sf_dir):
     return T.portable(flights.clean_flights_stream(fixtures.flights_msg(spark, sf_dir)))
 
 
-@query("d13_clean_weather_stream", with_tables("weather_live") + "SELECT * FROM weather_live")
+@query("d13_p7_p15_clean_weather_stream", with_tables("weather_live") + "SELECT * FROM weather_live")
 def d13_clean_weather_stream(spark, sf_dir):
     from tarmac.operators import weather
     from tarmac.plans.oracle import LIVE_LOCATION
