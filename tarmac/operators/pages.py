@@ -113,7 +113,7 @@ def forecast_messages(df: DataFrame, start_date: str, year: int, label: str = "h
                       details: str = "details") -> DataFrame:
     """W6 day offsets + 'h am/pm' labels + a given year -> the live weather
     message JSON {date 'yyyy-MM-dd HH:mm:ss', hour, details}."""
-    day = F.date_add(F.lit(start_date).cast("date"), F.col("day_offset"))
+    day = F.date_add(F.lit(start_date).cast("date"), F.col("day_offset").cast("int"))
     day = F.make_date(F.lit(year), F.month(day), F.dayofmonth(day))
     ts = F.try_to_timestamp(F.concat_ws(" ", F.date_format(day, "yyyy-MM-dd"), F.upper(F.col(label))),
                             F.lit("yyyy-MM-dd h a"))

@@ -72,3 +72,21 @@ def test_messages_round_trip_and_compaction(spark, scratch):
     for d in glob.glob(f"{scratch}/compact/date=*"):
         assert len([f for f in os.listdir(d) if f.endswith(".csv")]) == 1
     assert spark.read.option("header", True).csv(f"{scratch}/compact").count() == w.count()
+
+
+def test_details_and_forecast_messages(spark):
+    from tarmac.operators import pages
+    html = ('<ul><li><span class="label">Wind</span><span class="value">N 7 mph</span></li>'
+            '<li><span class="label">Humidity</span><span class="value">55%</span></li>'
+            '<li><span class="label">UV Index</span><span class="value">2</span><span class="value">3 of 11</span></li>'
+            '<li><span class="label">Cloud Cover</span><span class="value">20%</span></li></ul>')
+    d = pages.extract_details(spark.createDataFrame([(1, html)], "page_id long, html string")).collect()[0]
+    import json
+    assert json.loads(d.details) == {"wind_direction": "N", "wind_speed": "7 mph", "humidity": "55%",
+                                     "uv_index": "3 of 11", "cloud_cover": "20%"}
+    labels = spark.createDataFrame([(1, i, h) for i, h in enumerate(["10 pm", "11 pm", "12 am", "1 am"])],
+                                   "g int, i int, hour string")
+    rolled = pages.day_rollover(labels, "g", "i").withColumn("details", F.lit("{}"))
+    msgs = [json.loads(r.value) for r in pages.forecast_messages(rolled, "2024-05-06", 2024).orderBy("value").collect()]
+    assert [m["date"] for m in msgs] == ["2024-05-07 22:00:00", "2024-05-07 23:00:00",
+                                         "2024-05-08 00:00:00", "2024-05-08 01:00:00"]
