@@ -142,7 +142,7 @@ def f13_date_format(spark, sf_dir):
 
 
 @query("f14_hour_minute", _sql(["weather_obs"], """
-SELECT hour(date_time) AS h, minute(date_time) AS m FROM weather_obs"""))
+SELECT CAST(hour(date_time) AS INTEGER) AS h, CAST(minute(date_time) AS INTEGER) AS m FROM weather_obs"""))
 def f14_hour_minute(spark, sf_dir):
     from tarmac.operators import weather
     o = weather.hourly_observations(T.raw(spark, sf_dir, "weather_raw"))
@@ -201,9 +201,9 @@ def f20_when_label(spark, sf_dir):
 
 
 @query("f21_calendar_parts", _sql(["flights_clean"], """
-SELECT year(scheduled_time_arrival) AS "year", month(scheduled_time_arrival) AS "month",
-       day(scheduled_time_arrival) AS "day", hour(scheduled_time_arrival) AS "hour",
-       isodow(scheduled_time_arrival) - 1 AS dayofweek, quarter(scheduled_time_arrival) AS quarter,
+SELECT CAST(year(scheduled_time_arrival) AS INTEGER) AS "year", CAST(month(scheduled_time_arrival) AS INTEGER) AS "month",
+       CAST(day(scheduled_time_arrival) AS INTEGER) AS "day", CAST(hour(scheduled_time_arrival) AS INTEGER) AS "hour",
+       CAST(isodow(scheduled_time_arrival) - 1 AS INTEGER) AS dayofweek, CAST(quarter(scheduled_time_arrival) AS INTEGER) AS quarter,
        CAST(month(scheduled_time_arrival) = 1 AND day(scheduled_time_arrival) = 1 AS INTEGER) AS is_year_start,
        CAST(month(scheduled_time_arrival) = 12 AND day(scheduled_time_arrival) = 31 AS INTEGER) AS is_year_end
 FROM flights_clean"""))
