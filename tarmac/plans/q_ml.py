@@ -282,3 +282,50 @@ def m19_predict_delays(spark, sf_dir):
 @query("m20_result_projection")
 def m20_result_projection(spark, sf_dir):
     return P.result_projection(scored_live(spark, sf_dir))
+
+
+# ------------------------------------------------------------------ SMOTE
+SMOTE_FEATURES = ["flight_time", "departure_delay", "temperature", "humidity", "wind_speed",
+                  "my_flightradar24_rating", "arrival_delay_index", "departure_delay_index",
+                  "year", "month", "day", "hour", "dayofweek", "quarter"]
+
+
+def _smote_sql() -> str:
+    f = SMOTE_FEATURES
+    cast = ", ".join(f'CAST("{c}" AS DOUBLE) AS "{c}"' for c in f)
+    cols = ", ".join(f'"{c}"' for c in f)
+    d2 = " + ".join(f'(a."{c}" - b."{c}") * (a."{c}" - b."{c}")' for c in f)
+    on = " AND ".join(f'm."{c}" = p."{c}"' for c in f)
+    new = ", ".join(f'cp."{c}" + u * (nv."{c}" - cp."{c}") AS "{c}"' for c in f)
+    h = "('0x' || substr(md5('42:' || cp.row_key || ':' || cp.c || ':{t}'), 1, 8))::BIGINT"
+    return with_tables("joined", extra=[TRAIN, f"""
+base AS (SELECT row_key, {cast}, status FROM train)""", """
+cnt AS (SELECT status, count(*) AS n FROM base GROUP BY status)""", """
+mx AS (SELECT max(n) AS top FROM cnt)""", """
+cls AS (SELECT status AS cls, n, top - n AS need FROM cnt, mx WHERE n < top)""", f"""
+mino AS (SELECT b.*, c.n, c.need FROM base b JOIN cls c ON b.status = c.cls)""", f"""
+pts AS (SELECT status, {cols}, min(row_key) AS pid, count(*) AS mult FROM mino GROUP BY ALL)""", f"""
+pairs AS (SELECT a.status, a.pid, a.mult, b.pid AS cid, b.mult AS cmult, {d2} AS d2
+          FROM pts a JOIN pts b ON a.status = b.status AND a.pid <> b.pid)""", """
+ranked AS (SELECT *, CAST(coalesce(sum(cmult) OVER (PARTITION BY pid ORDER BY d2, cid
+             ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS cum_before FROM pairs)""", """
+nn AS (SELECT pid, unnest(generate_series(0, least(mult - 1, 5) - 1)) AS rank, pid AS nid FROM pts WHERE mult > 1
+       UNION ALL
+       SELECT pid, unnest(generate_series(mult - 1 + cum_before, least(mult - 1 + cum_before + cmult, 5) - 1)) AS rank, cid AS nid
+       FROM ranked WHERE cum_before < 5 - (mult - 1))""", f"""
+rows_ AS (SELECT m.*, p.pid, row_number() OVER (PARTITION BY m.status ORDER BY md5('42:' || m.row_key), m.row_key) - 1 AS pos
+          FROM mino m JOIN pts p ON m.status = p.status AND {on})""", """
+cp AS (SELECT * FROM (SELECT r.*, unnest(generate_series(0, need // n + CASE WHEN pos < need % n THEN 1 ELSE 0 END - 1)) AS c
+       FROM rows_ r))""", f"""
+syn AS (SELECT cp.row_key || '#' || cp.c AS row_key, {new}, cp.status
+        FROM (SELECT *, {h.format(t='u')} / 4294967296.0 AS u, {h.format(t='nn')} % 5 AS rk FROM cp) cp
+        JOIN nn ON nn.pid = cp.pid AND nn.rank = cp.rk
+        JOIN pts nv ON nv.pid = nn.nid)"""]) + """
+SELECT * FROM base UNION ALL SELECT * FROM syn"""
+
+
+@query("m6_smote_train_features", _smote_sql())
+def m6_smote_train_features(spark, sf_dir):
+    from tarmac.ml.smote import smote
+    f = FT.training_features(spark, sf_dir)
+    return smote(f, "status", SMOTE_FEATURES, "row_key", k=5, seed=SEED)
