@@ -68,3 +68,21 @@ def live_joined(spark, sf_dir, location: str = LIVE_LOCATION) -> DataFrame:
 
 def scoring_features(spark, sf_dir, location: str = LIVE_LOCATION) -> DataFrame:
     return joins.flight_features(live_joined(spark, sf_dir, location), "score")
+
+
+_OVERSAMPLED: dict = {}
+
+
+def oversampled_train(spark, sf_dir, seed: int = 42) -> DataFrame:
+    """Training side of the split grown with SMOTE (M6) on the 19 model
+    features, as the classifiers are trained; materialised once per session
+    and input."""
+    from tarmac.ml.smote import smote
+    from tarmac.schemas import FEATURE_COLUMNS
+
+    key = (id(spark), spark.sparkContext.applicationId, sf_dir, seed)
+    if key not in _OVERSAMPLED:
+        split, _ = model_table(spark, sf_dir, seed)
+        train = split.filter(~F.col("is_test"))
+        _OVERSAMPLED[key] = T.materialize(smote(train, "status", FEATURE_COLUMNS, "row_key", seed=seed))
+    return _OVERSAMPLED[key]
