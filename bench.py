@@ -26,7 +26,7 @@ HEADLINE = [
     "d14_join_flights",
     "a9_describe_joined",
     "a11_arrival_delay_kde",
-    "d15_features_train",
+    "d15_f22_f23_features_train",
     "m1_label_codes",
     "m4_stratified_split",
     "j4_j5_live_join",
