@@ -102,3 +102,63 @@ def d7_job_variant(spark, sf_dir):
     return f.agg(F.count(F.lit(1)).alias("n_rows"), F.count("flight_time").alias("with_flight_time"),
                  F.count("delay_time").alias("with_delay"),
                  F.count_if(F.col("status") == "Delayed").alias("delayed"))
+
+
+FLIGHTS_JOB_SQL = """
+flights_job AS (
+  WITH s AS (SELECT aircraft, try_strptime("date", '%d %b %Y')::DATE AS "date", "from", "to", flight, flight_time,
+                    scheduled_time_departure AS std, actual_time_departure AS atd, scheduled_time_arrival AS sta,
+                    string_split(status, ' ')[1] AS st, substring(status, length(status) - 4, 5) AS ata FROM flights_raw),
+  t AS (SELECT aircraft, "date", lower(substr(string_split("from", ' (')[2], 1, 3)) AS "from",
+          lower(substr(string_split("to", ' (')[2], 1, 3)) AS "to", flight,
+          try_strptime(concat_ws(' ', strftime("date", '%Y-%m-%d'), flight_time), '%Y-%m-%d %-H:%M') AS flight_time,
+          try_strptime(concat_ws(' ', strftime("date", '%Y-%m-%d'), std), '%Y-%m-%d %H:%M') AS scheduled_time_departure,
+          try_strptime(concat_ws(' ', strftime("date", '%Y-%m-%d'), atd), '%Y-%m-%d %H:%M') AS actual_time_departure,
+          try_strptime(concat_ws(' ', strftime("date", '%Y-%m-%d'), sta), '%Y-%m-%d %H:%M') AS scheduled_time_arrival,
+          st, try_strptime(concat_ws(' ', strftime("date", '%Y-%m-%d'), ata), '%Y-%m-%d %H:%M') AS actual_time_arrival,
+          lower(string_split("from", ' (')[1]) AS from_city, lower(string_split("to", ' (')[1]) AS to_city
+        FROM s WHERE regexp_matches(st, 'Landed')),
+  r AS (SELECT DISTINCT *, CASE WHEN scheduled_time_arrival IS NULL THEN NULL
+          ELSE CAST("date" AS TIMESTAMP) + to_hours(CAST((hour(scheduled_time_arrival)
+               + CASE WHEN minute(scheduled_time_arrival) >= 30 THEN 1 ELSE 0 END) % 24 AS BIGINT)) END AS rounded_hour
+        FROM t)
+  SELECT aircraft, "date", "from", "to", flight, flight_time, scheduled_time_departure, actual_time_departure,
+         scheduled_time_arrival, actual_time_arrival, from_city, to_city, rounded_hour, "to" AS airport,
+         date_diff('second', scheduled_time_arrival, actual_time_arrival) / 60 AS delay_time,
+         CASE WHEN date_diff('second', scheduled_time_arrival, actual_time_arrival) / 60 > 15 THEN 'Delayed' ELSE 'On Time' END AS status
+  FROM r)"""
+
+AIRCRAFTS_JOB_SQL = """
+aircrafts_job AS (
+  SELECT msn, "type", lower(aircraft) AS aircraft, airline,
+         try_cast(regexp_extract(first_flight, '\\((\\d+) years\\)', 1) AS INTEGER) AS age FROM aircrafts_raw)"""
+
+AIRPORTS_JOB_SQL = """
+airports_job AS (
+  SELECT DISTINCT
+    try_cast(regexp_replace(nullif(my_flightradar24_rating, 'N/A'), '[^0-9]', '', 'g') AS INTEGER) AS my_flightradar24_rating,
+    try_cast(nullif(arrival_delay_index, 'N/A') AS FLOAT) AS arrival_delay_index,
+    try_cast(nullif(departure_delay_index, 'N/A') AS FLOAT) AS departure_delay_index,
+    nullif(airport, 'N/A') AS airport,
+    date_diff('minute', try_strptime(concat('1970-01-01 ', nullif("local", 'N/A')), '%Y-%m-%d %I:%M %p'),
+              try_strptime(concat('1970-01-01 ', regexp_extract(nullif(utc, 'N/A'), '(\\d{2}:\\d{2})', 0)), '%Y-%m-%d %H:%M')) AS time_diff
+  FROM airports_raw)"""
+
+
+@query("d14_job_variant_distinct", with_tables("flights_raw", "weather_one", "aircrafts_raw", "airports_raw",
+                                               extra=[FLIGHTS_JOB_SQL, AIRCRAFTS_JOB_SQL, AIRPORTS_JOB_SQL]) + """
+SELECT DISTINCT f.*, w.temperature, w.dew_point, w.humidity, w.wind_direction, w.wind_speed, w.wind_gust,
+       w.pressure, w.precip, w.condition, w.date_time, p.my_flightradar24_rating, p.arrival_delay_index,
+       p.departure_delay_index, c.msn, c."type", c.airline, c.age
+FROM flights_job f
+JOIN weather_one w ON f.rounded_hour = w.rounded_hour AND f.airport = w.airport
+JOIN airports_job p ON f.airport = p.airport
+JOIN aircrafts_job c ON f.aircraft = c.aircraft""")
+def d14_job_variant_distinct(spark, sf_dir):
+    """The packaged job's joined table: job variants of all four chains
+    (weather keeps its hourly survivor rows), inner joins, final dedup."""
+    out = joins.join_flights(T.flights_clean(spark, sf_dir, variant="job"),
+                             T.weather_clean(spark, sf_dir, variant="job"),
+                             T.airports_clean(spark, sf_dir, variant="job"),
+                             T.aircrafts_clean(spark, sf_dir, variant="job"), distinct=True)
+    return T.portable(out)
