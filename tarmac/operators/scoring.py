@@ -15,6 +15,7 @@ from collections.abc import Callable
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 # --- fixed values: the default rule's word lists ---------------------------
 POSITIVE_WORDS = ["good", "great", "excellent", "amazing", "friendly", "clean", "comfortable",
@@ -43,7 +44,7 @@ def score_comments(df: DataFrame, classifier: Callable[[pd.Series], pd.Series] |
     """Add ``sentiment`` (1 / 0 / -1)."""
     if classifier is None:
         return df.withColumn("sentiment", reply_to_score(rule_reply(F.col(column))))
-    schema = df.schema.add("_reply", "string")
+    schema = StructType(list(df.schema.fields) + [StructField("_reply", StringType(), True)])
 
     def run(batches):
         for pdf in batches:
