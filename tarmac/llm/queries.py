@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from tarmac.llm import curriculum
+from tarmac.llm import curriculum, token_binary
 
 QUERIES = {
+    "op6_token_binary": token_binary.op6_query,
     "op9_curriculum_mix": curriculum.op9_query,
 }
 ORACLE = {
