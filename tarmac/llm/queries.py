@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from tarmac.llm import curriculum, token_binary
+from tarmac.llm import curriculum, token_binary, winnowing
 
 QUERIES = {
+    "op2_winnowing_decontamination": winnowing.op2_query,
     "op6_token_binary": token_binary.op6_query,
     "op9_curriculum_mix": curriculum.op9_query,
 }
 ORACLE = {
+    "op2_winnowing_decontamination": winnowing.OP2_SQL,
     "op9_curriculum_mix": curriculum.OP9_SQL,
 }
