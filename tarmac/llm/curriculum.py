@@ -84,8 +84,8 @@ def assign_positions(docs: DataFrame, schedules: DataFrame | None = None, share:
     """``docs`` with size, source_size, target, taken and positions (one training position in [0, 1) for
     each copy that the mix takes), one row a document.
 
-    Word offsets inside a source are two sums: words per (source, hash prefix) before the document's
-    bucket, and a window inside the bucket. Buckets are a function of the id alone, 65,536 a source, so
+    Word offsets inside a source are sums: words per (source, hash prefix) before the document's bucket,
+    added up in two levels of 256 prefixes each, and a window inside the bucket. Buckets are a function of the id alone, 65,536 a source, so
     a source with a third of all rows is spread and the offsets agree on every run.
     """
     schedules = cyclic_schedules(docs) if schedules is None else schedules
@@ -96,8 +96,12 @@ def assign_positions(docs: DataFrame, schedules: DataFrame | None = None, share:
     d = d.withColumn("_b", F.substring("_h", 1, BUCKET_DIGITS))
     buckets = d.groupBy("_s", "_b").agg(F.sum("size").alias("n"))
     targets = source_targets(buckets.groupBy("_s").agg(F.sum("n").alias("source_size")), schedules, share, max_repeats)
-    before = Window.partitionBy("_s").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = buckets.select("_s", "_b", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("off")).join(targets, "_s")
+    buckets = buckets.withColumn("_c", F.substring("_b", 1, BUCKET_DIGITS // 2))
+    summed = lambda by, order: F.coalesce(F.sum("n").over(
+        Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    coarse = buckets.groupBy("_s", "_c").agg(F.sum("n").alias("n")).withColumn("off_c", summed(["_s"], "_c")).drop("n")
+    offsets = (buckets.withColumn("off_b", summed(["_s", "_c"], "_b")).join(coarse.join(targets, "_s"), ["_s", "_c"])
+               .withColumn("off", F.col("off_b") + F.col("off_c")).drop("n", "off_b", "off_c", "_c"))
     inside = Window.partitionBy("_s", "_b").orderBy("_h", "size").rowsBetween(Window.unboundedPreceding, -1)
     d = d.withColumn("_in", F.coalesce(F.sum("size").over(inside), F.lit(0))).join(offsets, ["_s", "_b"])
     middle = lambda k: k * F.col("source_size") + F.col("off") + F.col("_in") + F.col("size") / 2
