@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from tarmac.llm import chat_events, curriculum, token_binary, winnowing
+from tarmac.llm import chat_events, curriculum, mil_toxicity, token_binary, winnowing
 
 QUERIES = {
     "op2_winnowing_decontamination": winnowing.op2_query,
     "op6_token_binary": token_binary.op6_query,
     "op7_chat_events": chat_events.op7_query,
     "op9_curriculum_mix": curriculum.op9_query,
+    "op10_mil_toxicity": mil_toxicity.op10_query,
 }
 ORACLE = {
     "op2_winnowing_decontamination": winnowing.OP2_SQL,
