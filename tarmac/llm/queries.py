@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from tarmac.llm import chat_events, curriculum, lang_backoff, mil_toxicity, token_binary, winnowing
+from tarmac.llm import chat_events, curriculum, lang_backoff, lbl_score, mil_toxicity, token_binary, winnowing
 
 QUERIES = {
     "op2_winnowing_decontamination": winnowing.op2_query,
+    "op5_lbl_score": lbl_score.op5_query,
     "op6_token_binary": token_binary.op6_query,
     "op7_chat_events": chat_events.op7_query,
     "op8_lang_backoff": lang_backoff.op8_query,
