@@ -13,8 +13,8 @@ Beside the shards lie the dictionary and a manifest table (one row a shard). A s
 name of its attempt and then moved in place, so a task that runs again leaves the same files.
 
 The dictionary is fitted on a bounded sample (``sample_docs`` texts of up to ``sample_chars`` characters,
-chosen by a hash of the id); it only affects sizes. Words between spaces are encoded once and kept in
-a cache of bounded size: the tokenizer's rules never look across a space.
+chosen by a hash of the id); it only affects sizes. Texts are encoded word by word between spaces, as the
+tokenizer's rules never look across a space.
 
 Defined results: a null text counts as empty and holds the end id alone; a null id comes first; rows with
 one id are ordered by a hash of their text, so copies are interchangeable; an empty table gives an empty
@@ -39,39 +39,62 @@ from tarmac.llm import common as C
 MAGIC = b"TKZSHRD1"
 INDEX = [("doc_id", "<i8"), ("has_id", "u1"), ("offset", "<u8"), ("length", "<u8"), ("n_tokens", "<u8")]
 MANIFEST = "shard int, file string, n_docs long, n_tokens long, min_id long, max_id long, bytes long"
-CACHE_WORDS = 250_000
+CACHE_WORDS = 600_000
 
 
-def encoder(tokenizer_path: str, end_id: int):
-    """text -> ids of the whole text with the end id."""
-    from tokenizers import Tokenizer
+class Encoder:
+    """Whole texts to serialized ids with the end id.
+
+    Words between spaces are encoded once and kept as bytes in two generations of at most ``CACHE_WORDS``: a
+    full new one becomes the old one, and words found in the old one move on. Words of ASCII letters
+    alone are one piece to the tokenizer, which only lower-cases them, so its model gets them directly.
+    """
+
+    def __init__(self, tokenizer_path: str, end_id: int, dtype: str):
+        from tokenizers import Tokenizer
 
-    tokenizer, cache = Tokenizer.from_file(tokenizer_path), {}
+        self.tokenizer, self.dtype = Tokenizer.from_file(tokenizer_path), np.dtype(dtype)
+        self.end, self.new, self.old = self.pack([end_id]), {}, {}
 
-    def piece(word: str) -> list[int]:
-        if len(word) > 1 and word[-1] in ".,;:!?" and word[-2].isalpha():  # letters and marks are never one piece
-            return word_ids(word[:-1]) + word_ids(word[-1])
-        return tokenizer.encode(word, add_special_tokens=False).ids
+    def pack(self, ids: list[int]) -> bytes:
+        return np.array(ids, self.dtype).tobytes()
 
-    def word_ids(word: str) -> list[int]:
-        ids = cache.get(word)
+    def word(self, word: str) -> bytes:
+        ids = self.new.get(word)
+        if ids is not None:
+            return ids
+        ids = self.old.get(word)
         if ids is None:
-            ids = piece(word)
-            if len(word) <= 40:
-                if len(cache) >= CACHE_WORDS:
-                    cache.clear()
-                cache[word] = ids
+            if word.isascii() and word.isalpha() and len(word) < 64:
+                ids = self.pack([t.id for t in self.tokenizer.model.tokenize(word.lower())])
+            elif len(word) > 1 and word[-1] in ".,;:!?" and word[-2].isalpha():  # letters and marks are never one piece
+                ids = self.word(word[:-1]) + self.word(word[-1])
+            else:
+                ids = self.pack(self.tokenizer.encode(word, add_special_tokens=False).ids)
+        if len(word) < 64:
+            if len(self.new) >= CACHE_WORDS:
+                self.old, self.new = self.new, {}
+            self.new[word] = ids
         return ids
 
-    def encode(text: str | None) -> list[int]:
-        out, get = [], cache.get
-        for word in (text or "").replace("\n", " ").split(" "):
-            ids = get(word)
-            out += word_ids(word) if ids is None else ids
-        out.append(end_id)
-        return out
+    def __call__(self, text: str | None) -> bytes:
+        words = (text or "").replace("\n", " ").split(" ")
+        found = list(map(self.new.get, words))
+        if None in found:
+            found = [self.word(w) if x is None else x for w, x in zip(words, found)]
+        found.append(self.end)
+        return b"".join(found)
+
+
+_ENCODERS: dict[tuple, Encoder] = {}
+
 
-    return encode
+def encoder(tokenizer_path: str, end_id: int, dtype: str) -> Encoder:
+    """One for each Python worker, so that its tasks share the words met so far."""
+    key = (tokenizer_path, end_id, dtype)
+    if key not in _ENCODERS:
+        _ENCODERS[key] = Encoder(*key)
+    return _ENCODERS[key]
 
 
 def vocabulary_dtype(tokenizer_path: str, end_id: int) -> str:
@@ -88,9 +111,9 @@ def train_dictionary(docs: DataFrame, tokenizer_path: str, end_id: int, dtype: s
 
     h = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30))
     few = docs.where((h <= int((1 << 30) * min(1.0, 4 * sample_docs / max(1, docs.count())))) & (F.length("text") <= sample_chars))
-    encode = encoder(tokenizer_path, end_id)
+    encode = encoder(tokenizer_path, end_id, dtype)
     rows = few.select("text").orderBy(h, F.xxhash64("text")).limit(sample_docs).collect()
-    samples = [np.array(encode(r.text), dtype).tobytes() for r in rows]
+    samples = [encode(r.text) for r in rows]
     try:
         return zstd.train_dictionary(size, samples).as_bytes()
     except (zstd.ZstdError, ValueError):
@@ -130,7 +153,7 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int
         from pyspark import TaskContext
 
         files, base = _files(folder)
-        encode, pack = encoder(tokenizer_path, end_id), _codec(dictionary, level)
+        encode, pack, width = encoder(tokenizer_path, end_id, dtype), _codec(dictionary, level), np.dtype(dtype).itemsize
         part, out, index, at, tokens = TaskContext.get().partitionId(), None, [], len(MAGIC), 0
         for batch in batches:
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
@@ -138,11 +161,11 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int
                     attempt = f"{base}/.{part}-{uuid.uuid4().hex}"
                     out = files.open_output_stream(attempt)
                     out.write(MAGIC)
-                ids = np.array(encode(text.as_py()), dtype)
-                frame = pack.compress(ids.tobytes())
+                ids = encode(text.as_py())
+                frame, n = pack.compress(ids), len(ids) // width
                 out.write(frame)
-                index.append((doc_id or 0, doc_id is not None, at, len(frame), len(ids)))
-                at, tokens = at + len(frame), tokens + len(ids)
+                index.append((doc_id or 0, doc_id is not None, at, len(frame), n))
+                at, tokens = at + len(frame), tokens + n
         if out is not None:
             for (_, kind), column in zip(INDEX, zip(*index)):
                 out.write(np.array(column, kind).tobytes())
