@@ -2,10 +2,20 @@
 
 from __future__ import annotations
 
-from tarmac.llm import chat_events, curriculum, lang_backoff, lbl_score, mil_toxicity, token_binary, winnowing
+from tarmac.llm import (
+    chat_events,
+    curriculum,
+    jaccard_join,
+    lang_backoff,
+    lbl_score,
+    mil_toxicity,
+    token_binary,
+    winnowing,
+)
 
 QUERIES = {
     "op2_winnowing_decontamination": winnowing.op2_query,
+    "op4_jaccard_join": jaccard_join.op4_query,
     "op5_lbl_score": lbl_score.op5_query,
     "op6_token_binary": token_binary.op6_query,
     "op7_chat_events": chat_events.op7_query,
@@ -15,6 +25,7 @@ QUERIES = {
 }
 ORACLE = {
     "op2_winnowing_decontamination": winnowing.OP2_SQL,
+    "op4_jaccard_join": jaccard_join.OP4_SQL,
     "op7_chat_events": chat_events.OP7_SQL,
     "op9_curriculum_mix": curriculum.OP9_SQL,
 }
