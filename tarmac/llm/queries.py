@@ -5,6 +5,7 @@ from __future__ import annotations
 from tarmac.llm import (
     chat_events,
     curriculum,
+    itq_dedup,
     jaccard_join,
     lang_backoff,
     lbl_score,
@@ -14,6 +15,7 @@ from tarmac.llm import (
 )
 
 QUERIES = {
+    "op1_itq_dedup": itq_dedup.op1_query,
     "op2_winnowing_decontamination": winnowing.op2_query,
     "op4_jaccard_join": jaccard_join.op4_query,
     "op5_lbl_score": lbl_score.op5_query,
@@ -24,6 +26,7 @@ QUERIES = {
     "op10_mil_toxicity": mil_toxicity.op10_query,
 }
 ORACLE = {
+    "op1_itq_dedup": itq_dedup.OP1_SQL,
     "op2_winnowing_decontamination": winnowing.OP2_SQL,
     "op4_jaccard_join": jaccard_join.OP4_SQL,
     "op7_chat_events": chat_events.OP7_SQL,
