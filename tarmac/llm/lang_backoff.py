@@ -19,6 +19,7 @@ import math
 import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -29,13 +30,7 @@ from tarmac.llm import common as C
 
 LETTERS = re.compile(r"[^\W\d_]+")
 N = 4
-FLUSH, CACHE_WORDS = 200_000, 200_000
-
-
-def grams(word: str) -> list[list[str]]:
-    """N-grams of the padded word by position, longest first."""
-    p = f"^{word}$"
-    return [[p[i:i + n] for n in range(min(N, len(p) - i), 0, -1)] for i in range(len(p))]
+FLUSH = 200_000
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
@@ -74,65 +69,58 @@ def gram_counts(words: DataFrame) -> DataFrame:
     return words.select("lang", "word").mapInPandas(count, "lang string, gram string, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
-def _top(counts: DataFrame, key: str, size, most: int) -> tuple[dict, list]:
+def _top(counts: DataFrame, key: str, size, most: int):
     """Totals by (language, size of the key) and the ``most`` keys of the highest share in some language."""
     totals = {(r.lang, r.s): r.n for r in counts.groupBy("lang", size.alias("s")).agg(F.sum("n").alias("n")).collect()}
+    if not totals:
+        return totals, []
     table = F.create_map(*[F.lit(x) for (lang, s), n in totals.items() for x in (f"{s} {lang}", n)])
     share = F.col("n") / table[F.concat(size.cast("string"), F.lit(" "), F.col("lang"))]
-    by_key = counts.groupBy(key).agg(F.max(share).alias("share"), F.collect_list(F.struct("lang", "n")).alias("ns"))
-    return totals, by_key.orderBy(F.desc("share"), key).limit(most).collect() if totals else []
+    by_key = counts.groupBy(key).agg(F.max(share).alias("share"), F.collect_list("lang").alias("langs"), F.collect_list("n").alias("ns"))
+    top = by_key.orderBy(F.desc("share"), key).limit(most).select(key, "langs", "ns").toArrow()
+    return totals, zip(*(top.column(i).to_pylist() for i in range(3)))
 
 
 class Model:
     def __init__(self, langs: list[str], words: dict, grams: dict):
         """words, grams: key -> log frequency in each of ``langs``."""
-        self.langs, self.words, self.grams = langs, words, grams
-
-    def predictor(self):
-        """text -> (language, probability)."""
-        rows, at = [np.asarray(x) for x in self.words.values()], {w: i for i, w in enumerate(self.words)}
-        size = len(rows)
-        table = np.zeros((size + CACHE_WORDS, max(1, len(self.langs))))
-        if size:
-            table[:size] = rows
-        full = size
-
-        def place(word: str) -> int:
-            nonlocal full
-            if full == len(table):  # forget the unseen words met so far
-                for w in [w for w, i in at.items() if i >= size]:
-                    del at[w]
-                full = size
-            table[full] = self.unseen(word)
-            at[word], full = full, full + 1
-            return full - 1
-
-        def predict(text):
-            words = LETTERS.findall(text.lower()) if text else []
-            if not words or not self.langs:
-                return "und", 0.0
-            total = np.zeros(len(self.langs))
-            for i in range(0, len(words), 10_000):
-                part = words[i:i + 10_000]
-                ids = list(map(at.get, part))
-                if None in ids:
-                    known = [(j, k) for j, k in enumerate(ids) if k is not None]
-                    total += table[[k for _, k in known]].sum(0) if known else 0
-                    for w, k in zip(part, ids):
-                        if k is None:
-                            k = at.get(w)
-                            total += table[place(w) if k is None else k]
-                else:
-                    total += table[ids].sum(0)
-            best = int(total.argmax())
-            return self.langs[best], float(1 / np.exp(total - total[best]).sum())
-
-        return predict
-
-    def unseen(self, word: str) -> np.ndarray:
-        found = [next((x for x in map(self.grams.get, longest) if x is not None), None) for longest in grams(word)]
-        found = [x for x in found if x is not None]
-        return np.mean(found, axis=0) if found else np.zeros(len(self.langs))
+        self.langs = langs
+        self.words, self.word_rows = {w: i + 1 for i, w in enumerate(words)}, self._rows(words)
+        self.grams, self.gram_rows = {g: i + 1 for i, g in enumerate(grams)}, self._rows(grams)
+
+    def _rows(self, logs: dict) -> np.ndarray:
+        """Row 0, of a key that is not there, adds nothing."""
+        return np.array([[0.0] * len(self.langs), *logs.values()]).reshape(len(logs) + 1, len(self.langs))
+
+    def predict(self, text: str | None) -> tuple[str, float]:
+        words = LETTERS.findall(text.lower()) if text else []
+        if not words or not self.langs:
+            return "und", 0.0
+        total = np.zeros(len(self.langs))
+        for i in range(0, len(words), 10_000):
+            part = words[i:i + 10_000]
+            ids = list(map(self.words.get, part, repeat(0)))
+            total += self.word_rows[ids].sum(0)
+            at, share = [], []
+            for w, k in zip(part, ids):
+                if not k:
+                    found = self.places(w)
+                    at += found
+                    share += [1 / len(found)] * len(found) if found else []
+            if at:
+                total += np.array(share) @ self.gram_rows[at]
+        best = int(total.argmax())
+        return self.langs[best], float(1 / np.exp(total - total[best]).sum())
+
+    def places(self, word: str) -> list[int]:
+        """The longest known n-gram from each position of an unseen word."""
+        p, get, out = f"^{word}$", self.grams.get, []
+        for i in range(len(p)):
+            for n in range(min(N, len(p) - i), 0, -1):
+                if k := get(p[i:i + n]):
+                    out.append(k)
+                    break
+        return out
 
 
 def fit(docs: DataFrame, max_words: int = 60_000, max_grams: int = 60_000) -> Model:
@@ -146,8 +134,8 @@ def fit(docs: DataFrame, max_words: int = 60_000, max_grams: int = 60_000) -> Mo
 
     def logs(rows, total, size):
         out = {}
-        for key, _, ns in rows:
-            n = {x.lang: x.n for x in ns}
+        for key, found, ns in rows:
+            n = dict(zip(found, ns))
             out[key] = [math.log((n.get(x, 0) + 0.5) / (total.get((x, size(key)), 0) + 1)) for x in langs]
         return out
 
@@ -158,10 +146,10 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     """``docs`` with lang_pred and score."""
 
     def judged(it: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        f = model.predictor()
         for texts in it:
-            yield pd.DataFrame([f(t) for t in texts], columns=["lang_pred", "score"])
+            yield pd.DataFrame([held.value.predict(t) for t in texts], columns=["lang_pred", "score"])
 
+    held = docs.sparkSession.sparkContext.broadcast(model)
     judge = F.pandas_udf(judged, "struct<lang_pred:string,score:double>")
     keep = [F.col(f"`{c}`") for c in C.keep_columns(docs, ["lang_pred", "score"])]
     (name,) = C.fresh(docs.columns, "_judged")
