@@ -77,10 +77,10 @@ def grouped(m: int, near) -> np.ndarray:
     return root
 
 
-def _blocked(df: DataFrame, key: str) -> DataFrame:
-    """Rows of a key with more than ``BLOCK`` rows, dealt to all pairs (i, j) of its blocks; others to (0, 0).
+def _blocked(df: DataFrame, key: str, block: int) -> DataFrame:
+    """Rows of a key with more than ``block`` rows, dealt to all pairs (i, j) of its blocks; others to (0, 0).
     ``home`` is the row's own block."""
-    hot = df.groupBy(key).count().where(F.col("count") > BLOCK).select(key, F.ceil(F.col("count") / BLOCK).cast("int").alias("blocks"))
+    hot = df.groupBy(key).count().where(F.col("count") > block).select(key, F.ceil(F.col("count") / block).cast("int").alias("blocks"))
     d = df.join(hot, key, "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
     d = d.withColumn("home", F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int"))
     pair = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct(F.least("home", o).alias("i"), F.greatest("home", o).alias("j")))
@@ -101,7 +101,7 @@ def _groups(batches, key: str, columns: list[str]):
         yield group[1], group[2], rows
 
 
-def candidate_groups(classes: DataFrame) -> DataFrame:
+def candidate_groups(classes: DataFrame, block: int = BLOCK) -> DataFrame:
     """(cid, cluster): groups of classes that the Hamming tables bring together; ``classes`` has cid, x."""
     spark = classes.sparkSession
     n = classes.count()
@@ -143,11 +143,11 @@ def candidate_groups(classes: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(cid[at]), pa.array(cid[root[at]])], ["src", "dst"])
 
     rows = classes.select("cid", "x").mapInArrow(tables, "bucket long, cid long, c0 long, c1 long")
-    edges = _blocked(rows, "bucket").mapInArrow(retrieve, "src long, dst long")
+    edges = _blocked(rows, "bucket", block).mapInArrow(retrieve, "src long, dst long")
     return C.connected_components(edges).select(F.col("node").alias("cid"), F.col("component").alias("cluster"))
 
 
-def rerank(members: DataFrame, threshold: float) -> DataFrame:
+def rerank(members: DataFrame, threshold: float, block: int = BLOCK) -> DataFrame:
     """(cid, dst, n): of a class, n other vectors linked to it in a block, or a link that joins components.
     ``members`` has cluster, cid, size and x."""
 
@@ -167,10 +167,10 @@ def rerank(members: DataFrame, threshold: float) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(np.r_[cid[at], cid[moved]]), pa.array([None] * len(at) + cid[root[moved]].tolist(), pa.int64()),
                                               pa.array(np.r_[n[at], np.zeros(len(moved), np.int64)])], ["cid", "dst", "n"])
 
-    return _blocked(members, "cluster").mapInArrow(judge, "cid long, dst long, n long")
+    return _blocked(members, "cluster", block).mapInArrow(judge, "cid long, dst long, n long")
 
 
-def near_duplicates(vectors: DataFrame, threshold: float = 0.9) -> DataFrame:
+def near_duplicates(vectors: DataFrame, threshold: float = 0.9, block: int = BLOCK) -> DataFrame:
     """``vectors`` (vec_id, embedding, ...) with n_links, component_id and kept."""
     bare = vectors.select("vec_id", F.col("embedding").cast("array<double>").alias("x"))
     finite = F.forall("x", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf"))) & F.exists("x", lambda v: v != 0)
@@ -179,8 +179,8 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.9) -> DataFrame:
     cid = F.when(valid, F.xxhash64("x"))
     classes = C.written(bare.where(valid).groupBy(cid.alias("cid")).agg(
         F.min("vec_id").alias("first"), F.count(F.lit(1)).alias("size"), F.first("x").alias("x")), "classes")
-    cluster = candidate_groups(classes)
-    found = C.written(rerank(classes.join(cluster, "cid").select("cluster", "cid", "size", "x"), threshold), "links")
+    cluster = candidate_groups(classes, block)
+    found = C.written(rerank(classes.join(cluster, "cid").select("cluster", "cid", "size", "x"), threshold, block), "links")
     labels = C.connected_components(found.where("dst is not null").select(F.col("cid").alias("src"), "dst"))
     labels = labels.select(F.col("node").alias("cid"), F.col("component").alias("root"))
     counts = found.groupBy("cid").agg(F.sum("n").alias("more"))

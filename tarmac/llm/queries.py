@@ -5,6 +5,7 @@ from __future__ import annotations
 from tarmac.llm import (
     chat_events,
     curriculum,
+    fm_dedup,
     itq_dedup,
     jaccard_join,
     lang_backoff,
@@ -17,6 +18,7 @@ from tarmac.llm import (
 QUERIES = {
     "op1_itq_dedup": itq_dedup.op1_query,
     "op2_winnowing_decontamination": winnowing.op2_query,
+    "op3_fm_dedup": fm_dedup.op3_query,
     "op4_jaccard_join": jaccard_join.op4_query,
     "op5_lbl_score": lbl_score.op5_query,
     "op6_token_binary": token_binary.op6_query,
@@ -28,6 +30,7 @@ QUERIES = {
 ORACLE = {
     "op1_itq_dedup": itq_dedup.OP1_SQL,
     "op2_winnowing_decontamination": winnowing.OP2_SQL,
+    "op3_fm_dedup": fm_dedup.OP3_SQL,
     "op4_jaccard_join": jaccard_join.OP4_SQL,
     "op7_chat_events": chat_events.OP7_SQL,
     "op9_curriculum_mix": curriculum.OP9_SQL,
