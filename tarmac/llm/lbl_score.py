@@ -10,7 +10,7 @@ parameters are averaged by tokens seen. Scoring is normalised exactly: the logit
 of precomputed products, and each context's log sum over all classes is computed once a task, in batches.
 A token outside the classes gets the probability of their class times its base share in it.
 
-The most frequent ``HEAD`` tokens' counts go to the tasks; other tokens are few each, and are joined to the
+Counts of the at most ``HEAD`` most frequent tokens go to the tasks; other tokens are few each, and are joined to the
 count table by token, counted per document first. So memory does not grow with the vocabulary.
 
 Defined results: a null or empty text is the end alone; without training tokens all counts are 0 and the
@@ -30,7 +30,7 @@ from tarmac.llm import common as C
 
 LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 END = b""  # no word is empty
-HEAD, FLUSH = 200_000, 300_000
+HEAD, FLUSH = 100_000, 200_000
 WARM_DOCS, WARM_CHARS, TRAIN_TASKS = 1_000, 20_000, 4_096
 NEW = ["n_tokens", "n_known", "train_tokens", "base_score", "score"]
 
@@ -145,7 +145,8 @@ def fit(docs: DataFrame, n_classes: int = 1_000, dim: int = 24):
     counts = C.written(token_counts(docs), "tokens")
     total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("n")).first()
     ends = getattr(counts.where(F.length("token") == 0).first(), "n", 0)
-    head = [(bytes(r.token), r.n) for r in counts.where(F.length("token") > 0).orderBy(F.desc("n"), "token").limit(HEAD).collect()]
+    top = C.highest(counts.where(F.length("token") > 0), F.col("n"), HEAD).toArrow()
+    head = sorted(zip(top["token"].to_pylist(), top["n"].to_pylist()), key=lambda x: (-x[1], x[0]))
     vocabulary = Vocabulary(head, ends, total, distinct, n_classes)
     known = vocabulary.base(vocabulary.counts[1:vocabulary.classes])
     network = Network(np.concatenate([[max(1 - known.sum(), 1e-12)], known]), dim)
@@ -243,7 +244,7 @@ def score(docs: DataFrame, model) -> DataFrame:
 
         scorer, key = Scorer(*held.value), TaskContext.get().partitionId() << 33
         tail_type = pa.list_(pa.struct([("token", pa.binary()), ("k", pa.int64())]))
-        for batch in batches:
+        for batch in (b.slice(i, 512) for b in batches for i in range(0, b.num_rows, 512)):
             found = [scorer(t.as_py()) for t in batch.column(1)]
             tail = pa.array([[{"token": t, "k": k} for t, k in x[4].items()] for x in found], tail_type)
             columns = [pa.array([x[i] for x in found], kind) for i, kind in enumerate([pa.int64(), pa.int64(), pa.float64(), pa.float64()])]
