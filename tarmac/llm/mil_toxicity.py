@@ -115,7 +115,8 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = 8_000, max_features
 
     df = bags.mapInPandas(document_counts, "f string, t long, c long").groupBy("f").agg(F.sum("t").alias("t"), F.sum("c").alias("c"))
     odds = F.log((F.col("t") + 0.5) / (n_toxic + 1)) - F.log((F.col("c") + 2) / (n_clean + 1))
-    chosen = df.where((F.col("t") >= 4) & (odds > 1.5)).orderBy((F.col("t") * odds).desc(), "f").limit(max_features).select("f", odds.alias("o")).collect()
+    df = C.written(df.select("f", "t", odds.alias("o")).where("t >= 4 and o > 1.5"), "features")
+    chosen = C.highest(df, F.col("t") * F.col("o"), max_features).orderBy("f").collect()
     ids = {r.f: i for i, r in enumerate(chosen)}
 
     def sentences(batches):
