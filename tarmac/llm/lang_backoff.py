@@ -6,8 +6,8 @@ longest known n-gram, of 4 letters down to 1, scores its log frequency among n-g
 word scores the mean over positions. The softmax of the sums gives the probability of each language.
 
 Word counts are taken from every training text and n-gram counts from every distinct word of them, both as
-grouped sums that are added up inside each task first. The model that tasks receive is bounded: the
-``max_words`` words and ``max_grams`` n-grams of the highest share in some language; words beyond it are
+grouped sums that are added up inside each task first. The model that tasks receive is bounded: at most
+``max_words`` words and ``max_grams`` n-grams, those of the highest share in some language; words beyond it are
 unseen words.
 
 Defined results: a text that is null or has no letter is ``und`` with score 0; rows with a null language
@@ -77,8 +77,8 @@ def _top(counts: DataFrame, key: str, size, most: int):
     table = F.create_map(*[F.lit(x) for (lang, s), n in totals.items() for x in (f"{s} {lang}", n)])
     share = F.col("n") / table[F.concat(size.cast("string"), F.lit(" "), F.col("lang"))]
     by_key = counts.groupBy(key).agg(F.max(share).alias("share"), F.collect_list("lang").alias("langs"), F.collect_list("n").alias("ns"))
-    top = by_key.orderBy(F.desc("share"), key).limit(most).select(key, "langs", "ns").toArrow()
-    return totals, zip(*(top.column(i).to_pylist() for i in range(3)))
+    top = C.highest(by_key, F.col("share"), most).select(key, "langs", "ns").toArrow()
+    return totals, sorted(zip(*(top.column(i).to_pylist() for i in range(3))))
 
 
 class Model:
