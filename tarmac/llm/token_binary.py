@@ -133,11 +133,13 @@ def _files(folder: str):
     return fs.FileSystem.from_uri(folder)
 
 
-def write_tokens(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int = 1, level: int = 3) -> DataFrame:
-    """Write shards of ``docs`` (doc_id, text) in ascending doc_id order below ``folder``, a path that
-    driver and executors share; returns the manifest as read back."""
+def write_tokens(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int = 1, level: int = 3, order: list[str] | None = None) -> DataFrame:
+    """Write shards of ``docs`` (doc_id, text) below ``folder``, a path that driver and executors share, in
+    ascending order of doc_id or of the columns ``order``; returns the manifest as read back."""
     spark = docs.sparkSession
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    by = [F.col(c).alias(f"by{i}") for i, c in enumerate(order or [])]
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *by)
+    by = [f"by{i}" for i in range(len(by))] or ["doc_id", F.xxhash64("text")]
     dtype = vocabulary_dtype(tokenizer_path, end_id)
     dictionary = train_dictionary(docs, tokenizer_path, end_id, dtype)
     sha = hashlib.sha256(dictionary).hexdigest()
@@ -145,8 +147,7 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int
     files.create_dir(base, recursive=True)
     with files.open_output_stream(f"{base}/dictionary.zdict") as f:
         f.write(dictionary)
-    tie = F.xxhash64("text")
-    ordered = docs.repartitionByRange("doc_id", tie).sortWithinPartitions("doc_id", tie)
+    ordered = docs.repartitionByRange(*by).sortWithinPartitions(*by).select("doc_id", "text")
     name = tokenizer_path.rsplit("/", 1)[-1]
 
     def shard(batches):
