@@ -26,8 +26,11 @@ from __future__ import annotations
 import hashlib
 import json
 import struct
+import sys
 import uuid
 import zlib
+from array import array
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -39,25 +42,38 @@ from tarmac.llm import common as C
 MAGIC = b"TKZSHRD1"
 INDEX = [("doc_id", "<i8"), ("has_id", "u1"), ("offset", "<u8"), ("length", "<u8"), ("n_tokens", "<u8")]
 MANIFEST = "shard int, file string, n_docs long, n_tokens long, min_id long, max_id long, bytes long"
-CACHE_WORDS = 600_000
+CACHE_WORDS, HOT_WORDS, FIRST_WORDS = 800_000, 16_384, 400_000
+MARKS = ".,;:!?&$%#@*+=~^/-"  # ASCII marks that begin no special token and no contraction
+
+
+#: The characters that byte-level vocabularies write bytes as: printable Latin-1 bytes as they are, the others
+#: as the characters from U+0100 on, in order.
+_PRINTABLE = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+BYTE_CHARACTERS = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _PRINTABLE)}
 
 
 class Encoder:
     """Whole texts to serialized ids with the end id.
 
-    Words between spaces are encoded once and kept as bytes in two generations of at most ``CACHE_WORDS``: a
-    full new one becomes the old one, and words found in the old one move on. Words of ASCII letters
-    alone are one piece to the tokenizer, which only lower-cases them, so its model gets them directly.
+    Words between spaces are encoded once and kept as bytes: the ``HOT_WORDS`` most frequent of the first texts
+    in a small table, others in two generations of at most ``CACHE_WORDS``: a full new one becomes the
+    old one, and words found in the old one move on. A word of Latin letters alone
+    (up to U+017F, where normal forms and lower case are plain) is one piece to the tokenizer, so its model
+    gets the piece directly: the lower-cased bytes, each as its character in byte-level vocabularies.
     """
 
     def __init__(self, tokenizer_path: str, end_id: int, dtype: str):
         from tokenizers import Tokenizer
 
         self.tokenizer, self.dtype = Tokenizer.from_file(tokenizer_path), np.dtype(dtype)
-        self.end, self.new, self.old = self.pack([end_id]), {}, {}
+        self.code, self.tokenize = {2: "H", 4: "I"}[self.dtype.itemsize], self.tokenizer.model.tokenize
+        self.end, self.new, self.old, self.hot, self.first = self.pack([end_id]), {}, {}, {}, Counter()
 
     def pack(self, ids: list[int]) -> bytes:
-        return np.array(ids, self.dtype).tobytes()
+        ids = array(self.code, ids)
+        if sys.byteorder == "big":
+            ids.byteswap()
+        return ids.tobytes()
 
     def word(self, word: str) -> bytes:
         ids = self.new.get(word)
@@ -65,23 +81,34 @@ class Encoder:
             return ids
         ids = self.old.get(word)
         if ids is None:
-            if word.isascii() and word.isalpha() and len(word) < 64:
-                ids = self.pack([t.id for t in self.tokenizer.model.tokenize(word.lower())])
-            elif len(word) > 1 and word[-1] in ".,;:!?" and word[-2].isalpha():  # letters and marks are never one piece
-                ids = self.word(word[:-1]) + self.word(word[-1])
+            if word.isalpha() and len(word) < 64 and (word.isascii() or max(word) <= "\u017f" and "\u0130" not in word):
+                piece = word.lower()
+                if not word.isascii():
+                    piece = piece.encode().decode("latin-1").translate(BYTE_CHARACTERS)
+                ids = self.pack([t.id for t in self.tokenize(piece)])
+            elif (n := len(stem := word.rstrip(MARKS))) < len(word) and n and stem[-1].isalpha() and stem[-1] <= "\u017f" and stem[-1] != "\u0130":
+                ids = self.word(stem) + self.word(word[n:])  # marks after a letter are a piece of their own
             else:
                 ids = self.pack(self.tokenizer.encode(word, add_special_tokens=False).ids)
         if len(word) < 64:
             if len(self.new) >= CACHE_WORDS:
-                self.old, self.new = self.new, {}
+                self.old, self.new = self.new, {}  # the caller's ``known`` is then the old one, as good
             self.new[word] = ids
         return ids
 
     def __call__(self, text: str | None) -> bytes:
         words = (text or "").replace("\n", " ").split(" ")
-        found = list(map(self.new.get, words))
-        if None in found:
-            found = [self.word(w) if x is None else x for w, x in zip(words, found)]
+        if self.first is not None:
+            self.first.update(words)
+            if self.first.total() > FIRST_WORDS:
+                self.hot = {w: self.word(w) for w, _ in self.first.most_common(HOT_WORDS)}
+                self.first = None
+        found = list(map(self.hot.get, words))
+        i, known = -1, self.new.get
+        for _ in range(found.count(None)):
+            i = found.index(None, i + 1)
+            ids = known(words[i])
+            found[i] = self.word(words[i]) if ids is None else ids
         found.append(self.end)
         return b"".join(found)
 
@@ -133,7 +160,7 @@ def _files(folder: str):
     return fs.FileSystem.from_uri(folder)
 
 
-def write_tokens(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int = 1, level: int = 3, order: list[str] | None = None) -> DataFrame:
+def write_tokens(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int = 1, level: int = 1, order: list[str] | None = None) -> DataFrame:
     """Write shards of ``docs`` (doc_id, text) below ``folder``, a path that driver and executors share, in
     ascending order of doc_id or of the columns ``order``; returns the manifest as read back."""
     spark = docs.sparkSession
