@@ -1,11 +1,12 @@
 """Embedding near-duplicates: iterative quantisation, multi-index Hamming tables, exact reranking.
 
-1. Equal vectors become one class. ``ROTATIONS`` rotations are learnt by iterative quantisation (alternating
-   the sign codes and the orthogonal Procrustes fit, from random starts) on unit vectors less their mean,
-   from a sample of at most ``SAMPLE`` classes chosen by hash. The signs after a rotation are its code.
+1. Equal vectors become one class. Rotations are learnt by iterative quantisation (alternating the sign codes
+   and the orthogonal Procrustes fit, from random starts) on the up to ``BITS`` principal axes of unit vectors
+   less their mean, from a sample of at most ``SAMPLE`` classes chosen by hash. The signs after all
+   rotations, as many as give ``CODE_BITS``, are a vector's code.
 2. Codes are cut into substrings of ``SUBSTRING`` bits, one Hamming table each. Classes that share a
-   substring are retrieved together and compared by the Hamming distance of their first two codes;
-   those within ``RADIUS`` of its bits are candidates. A bucket returns links that join its
+   substring are retrieved together and compared by the Hamming distance of the first ``COMPARED`` bits of
+   their codes; those within ``RADIUS`` are candidates. A bucket returns links that join its
    candidates into groups, not their pairs; groups over all tables are connected components.
 3. Groups are reranked with the original vectors: all cosines inside a group, in double precision. Each
    vector's links at or above the threshold are counted there, and links that join components returned.
@@ -26,8 +27,8 @@ from pyspark.sql import functions as F
 
 from tarmac.llm import common as C
 
-SAMPLE, ROTATIONS, ITERATIONS, BITS = 20_000, 4, 40, 64
-SUBSTRING, RADIUS, BLOCK = 16, 0.3, 4_096
+SAMPLE, CODE_BITS, ITERATIONS, BITS = 20_000, 256, 40, 64
+SUBSTRING, COMPARED, RADIUS, BLOCK = 16, 128, 38, 4_096
 NEW = ["n_links", "component_id", "kept"]
 
 
@@ -45,7 +46,7 @@ def learn(sample: np.ndarray, seed: int = 11) -> tuple[np.ndarray, np.ndarray]:
     d = x.shape[1]
     bits = min(BITS, d)
     v, out = x @ axes[:bits].T, []
-    for i in range(ROTATIONS):
+    for i in range(-(-CODE_BITS // bits)):
         r, _ = np.linalg.qr(np.random.default_rng([seed, i]).normal(size=(bits, bits)))
         for _ in range(ITERATIONS):
             a, _, b = np.linalg.svd(np.sign(v @ r).T @ v)
@@ -55,9 +56,13 @@ def learn(sample: np.ndarray, seed: int = 11) -> tuple[np.ndarray, np.ndarray]:
 
 
 def encode(x: np.ndarray, mean: np.ndarray, projections: np.ndarray) -> np.ndarray:
-    """Codes, one unsigned 64-bit number for each rotation."""
-    weights = np.uint64(1) << np.arange(projections.shape[2], dtype=np.uint64)
-    return np.stack([(((x - mean) @ p > 0) * weights).sum(1, dtype=np.uint64) for p in projections], 1)
+    """Signs after each rotation, one code of ``CODE_BITS`` or a few more bits a vector."""
+    return np.concatenate([(x - mean) @ p > 0 for p in projections], 1)
+
+
+def packed(bits: np.ndarray) -> np.ndarray:
+    """Up to 64 bits a row as one number."""
+    return (bits * (np.uint64(1) << np.arange(bits.shape[1], dtype=np.uint64))).sum(1, dtype=np.uint64)
 
 
 def grouped(m: int, near) -> np.ndarray:
@@ -111,15 +116,14 @@ def candidate_groups(classes: DataFrame, block: int = BLOCK) -> DataFrame:
         return classes.select("cid", F.col("cid").alias("cluster"))
     mean, projections = learn(unit(sample))
     held = spark.sparkContext.broadcast((mean, projections))
-    bits = projections.shape[2]
-    parts = max(1, bits // SUBSTRING)
-    width = bits // parts
+    width = min(SUBSTRING, projections.shape[2])
 
     def tables(it):
         for b in it:
             if b.num_rows:
-                codes = encode(unit(b.column(1).to_pylist()), *held.value)
-                keys = [(codes[:, r] >> np.uint64(width * p)) & np.uint64((1 << width) - 1) for r in range(ROTATIONS) for p in range(parts)]
+                code = encode(unit(b.column(1).to_pylist()), *held.value)
+                keys = [packed(code[:, i:i + width]) for i in range(0, code.shape[1] - width + 1, width)]
+                codes = np.stack([packed(code[:, i:i + 64]) for i in range(0, COMPARED, 64)], 1)
                 bucket = np.concatenate([k.astype(np.int64) + (t << width) for t, k in enumerate(keys)])
                 again = lambda x: np.tile(x, len(keys))
                 yield pa.RecordBatch.from_arrays([pa.array(bucket), pa.array(again(np.array(b.column(0)))), pa.array(again(codes[:, 0].view(np.int64))),
@@ -135,7 +139,7 @@ def candidate_groups(classes: DataFrame, block: int = BLOCK) -> DataFrame:
             def near(a, b):
                 differ = np.bitwise_count(code[a][:, None, 0] ^ code[b][None, :, 0]).astype(np.int16)
                 differ += np.bitwise_count(code[a][:, None, 1] ^ code[b][None, :, 1])
-                return (differ <= RADIUS * 2 * bits).any(0)
+                return (differ <= RADIUS).any(0)
 
             root = grouped(len(cid), near)
             at = np.flatnonzero(root != np.arange(len(cid)))
@@ -200,8 +204,9 @@ def op1_query(spark, sf_dir):
 
 OP1_SQL = r"""
 WITH RECURSIVE v AS (SELECT vec_id, embedding::DOUBLE[] AS x FROM embeddings),
-ok AS (SELECT vec_id, x FROM v WHERE len(x) > 0 AND len(list_filter(x, lambda y: y IS NULL OR NOT isfinite(y))) = 0 AND len(list_filter(x, lambda y: y <> 0)) > 0),
-e AS (SELECT a.vec_id AS p, b.vec_id AS q FROM ok a JOIN ok b ON a.vec_id <> b.vec_id AND len(a.x) = len(b.x) AND list_cosine_similarity(a.x, b.x) >= 0.9),
+ok AS (SELECT vec_id, x FROM (SELECT vec_id, CASE WHEN len(x) > 0 AND len(list_filter(x, lambda y: y IS NULL OR NOT isfinite(y))) = 0
+         AND len(list_filter(x, lambda y: y <> 0)) > 0 THEN x END AS x FROM v) WHERE x IS NOT NULL),
+e AS (SELECT a.vec_id AS p, b.vec_id AS q FROM ok a JOIN ok b ON a.vec_id <> b.vec_id AND len(a.x) = len(b.x) AND list_cosine_similarity(list_transform(a.x, lambda y: coalesce(y, 0)), list_transform(b.x, lambda y: coalesce(y, 0))) >= 0.9),
 n AS (SELECT p, count(*) AS n_links FROM e GROUP BY p),
 walk AS (SELECT vec_id AS p, vec_id AS q FROM v UNION SELECT walk.p, e.q FROM walk JOIN e ON walk.q = e.p),
 c AS (SELECT p, min(q) AS component_id FROM walk GROUP BY p)
