@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,7 +16,20 @@ WORD = r"[^\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+def shipped(spark: SparkSession) -> None:
+    """Give executors this package, as ``--py-files`` does, once a context: tasks import it by name."""
+    sc, package = spark.sparkContext, Path(__file__).resolve().parents[1]
+    if getattr(sc, "_package_shipped", None) != package:
+        archive = f"{tempfile.mkdtemp()}/{package.name}.zip"  # on the driver; Spark's file server hands it out
+        with zipfile.ZipFile(archive, "w") as z:
+            for f in package.rglob("*.py"):
+                z.write(f, f.relative_to(package.parent))
+        sc.addPyFile(archive)
+        sc._package_shipped = package
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    shipped(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -29,6 +45,7 @@ def fold(doc_id: Column, folds: int) -> Column:
 
 def shared_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the folder that driver and executors share."""
+    shipped(spark)
     return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
