@@ -101,12 +101,12 @@ class Model:
             part = words[i:i + 10_000]
             ids = list(map(self.words.get, part, repeat(0)))
             total += self.word_rows[ids].sum(0)
-            at, share = [], []
-            for w, k in zip(part, ids):
-                if not k:
-                    found = self.places(w)
+            at, share, j = [], [], -1
+            for _ in range(ids.count(0)):
+                j = ids.index(0, j + 1)
+                if found := self.places(part[j]):
                     at += found
-                    share += [1 / len(found)] * len(found) if found else []
+                    share += [1 / len(found)] * len(found)
             if at:
                 total += np.array(share) @ self.gram_rows[at]
         best = int(total.argmax())
@@ -114,16 +114,18 @@ class Model:
 
     def places(self, word: str) -> list[int]:
         """The longest known n-gram from each position of an unseen word."""
-        p, get, out = f"^{word}$", self.grams.get, []
-        for i in range(len(p)):
-            for n in range(min(N, len(p) - i), 0, -1):
-                if k := get(p[i:i + n]):
-                    out.append(k)
-                    break
-        return out
-
-
-def fit(docs: DataFrame, max_words: int = 60_000, max_grams: int = 60_000) -> Model:
+        p, get = f"^{word}$", self.grams.get
+        out = [get(p[i:i + N]) for i in range(len(p))]  # shorter by itself at the end of the word
+        if None in out:
+            for i, k in enumerate(out):
+                n = min(N, len(p) - i) - 1
+                while k is None and n:
+                    k, n = get(p[i:i + n]), n - 1
+                out[i] = k or 0
+        return [k for k in out if k]
+
+
+def fit(docs: DataFrame, max_words: int = 150_000, max_grams: int = 60_000) -> Model:
     """Learn from ``docs`` (text, lang)."""
     words = C.written(word_counts(docs), "words")
     word_total, top_words = _top(words, "word", F.lit(0), max_words)
