@@ -2,45 +2,68 @@
 cumulative counts over a global order.
 
 A window without ``PARTITION BY`` (or partitioned by a low-cardinality key
-such as a class label) puts every row of a group into one task. Here the
-rows are range-partitioned on (group, order) instead, each range partition
-counts its rows per group (a table of at most partitions x groups rows, so
-its broadcast is bounded by the partition count), the counts are turned into
-offsets, and positions inside a range partition are added to the offset.
-Used for dense codes (M1), exact stratified splits (M4) and exact quantiles
-(A9, A10).
+such as a class label) puts every row of a group into one task. Here rows
+get a bucket by comparing (group, order) with bounds that are fixed once, as
+literals; each bucket counts its rows per group (at most buckets x groups
+rows, so its broadcast is bounded), the counts are turned into offsets, and
+positions inside a bucket are added to the offset. A row's bucket depends on
+its values alone, so both uses of the table agree whatever Spark samples,
+coalesces or runs again. Used for dense codes (M1) and exact quantiles (A9,
+A10); the stratified split (M4) needs no order of all rows.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+ROWS_PER_BUCKET, MAX_BUCKETS, SAMPLES_PER_BUCKET = 500_000, 512, 40
+
+
+def value_buckets(df: DataFrame, columns: list[str], rows_per_bucket: int = ROWS_PER_BUCKET) -> Column:
+    """Bucket number of a row in the order of ``columns``: how many bounds are
+    at or below it. Bounds are evenly spaced in a sample of rows chosen by a
+    hash of the columns (at most MAX_BUCKETS x SAMPLES_PER_BUCKET rows reach
+    the driver); they only affect how evenly rows are dealt."""
+    n = df.count()
+    buckets = min(MAX_BUCKETS, -(-n // rows_per_bucket))
+    if buckets < 2:
+        return F.lit(0)
+    rate = min(1.0, buckets * SAMPLES_PER_BUCKET / n)
+    part = F.pmod(F.xxhash64(*columns), F.lit(1 << 30)) < int(rate * (1 << 30))
+    sample = df.filter(part).select(*columns).orderBy(*columns).limit(2 * MAX_BUCKETS * SAMPLES_PER_BUCKET).collect()
+    rows = [sample[len(sample) * i // buckets] for i in range(1, buckets) if sample]
+    types = {f.name: f.dataType for f in df.schema.fields}
+    bounds = [F.struct(*[F.lit(r[c]).cast(types[c]).alias(c) for c in columns]) for r in dict.fromkeys(rows)]
+    key = F.struct(*[F.col(c).alias(c) for c in columns])
+    return F.size(F.filter(F.array(*bounds), lambda b: b <= key)) if bounds else F.lit(0)
+
 
 def running_position(df: DataFrame, order_cols: list[str], group_cols: list[str] | None = None,
-                     weight: str | None = None, out: str = "_start") -> DataFrame:
+                     weight: str | None = None, out: str = "_start",
+                     rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
     """Add ``out`` = total weight (row count when ``weight`` is None) of the
     rows that come before each row inside its group, in ``order_cols`` order.
 
     ``order_cols`` must order rows totally within a group (unique keys);
     callers pre-aggregate equal values so that hot values cannot pile up in
-    one range partition.
+    one bucket.
     """
     groups = list(group_cols or [])
     w = F.col(weight) if weight else F.lit(1)
-    ranged = (df.withColumn("_w", w.cast("long"))
-                .repartitionByRange(*groups, *order_cols)
-                .withColumn("_pid", F.spark_partition_id()))
-    counts = ranged.groupBy("_pid", *groups).agg(F.sum("_w").alias("_n"))
-    before = Window.partitionBy(*groups).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_pid", *groups, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    inside = Window.partitionBy("_pid", *groups).orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, -1)
-    return (ranged.join(F.broadcast(offsets), ["_pid", *groups])
-                  .withColumn(out, F.col("_off") + F.coalesce(F.sum("_w").over(inside), F.lit(0)))
-                  .drop("_pid", "_off", "_w"))
+    dealt = df.withColumn("_w", w.cast("long")).withColumn(
+        "_bucket", value_buckets(df, [*groups, *order_cols], rows_per_bucket))
+    counts = dealt.groupBy("_bucket", *groups).agg(F.sum("_w").alias("_n"))
+    before = Window.partitionBy(*groups).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_bucket", *groups, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    inside = Window.partitionBy("_bucket", *groups).orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, -1)
+    return (dealt.join(F.broadcast(offsets), ["_bucket", *groups])
+                 .withColumn(out, F.col("_off") + F.coalesce(F.sum("_w").over(inside), F.lit(0)))
+                 .drop("_bucket", "_off", "_w"))
 
 
-def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float]) -> DataFrame:
+def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float],
+                    rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
     """Exact quantiles with linear interpolation (pandas / DuckDB
     ``quantile_cont``) for several numeric columns in one pass.
 
@@ -53,7 +76,7 @@ def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float]) -> Da
         F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").cast("double").alias("value"))
         for c in columns])).alias("s")).select("s.*").filter(F.col("value").isNotNull())
     vc = stacked.groupBy("column", "value").agg(F.count(F.lit(1)).alias("cnt"))
-    pos = running_position(vc, ["value"], ["column"], weight="cnt")
+    pos = running_position(vc, ["value"], ["column"], weight="cnt", rows_per_bucket=rows_per_bucket)
     totals = vc.groupBy("column").agg(F.sum("cnt").alias("n"))
     pos = pos.join(F.broadcast(totals), "column")
     # For each probability, the values at floor/ceil of p*(n-1).

@@ -55,7 +55,7 @@ select date_format(timestampadd(MINUTE,l_orderkey*31%1440,timestamp'2024-01-01 0
 select cast(p_partkey as string) msn, p_type `type`, concat('A',p_partkey) aircraft,
  case when p_partkey%53=0 then null else p_brand end airline,
  case when p_partkey%17=0 then 'N/A' when p_partkey%19=0 then 'Jan 2024 (2024 years)' else concat('Mar 2010 (',p_size,' years)') end first_flight,
- '' photo from {part} where p_partkey<240
+ '' photo from {part}
 """),
     "airports_raw": ("nation", """
 with r as (select n_regionkey k, case when n_nationkey%11=7 then 'N/A' else concat(50+n_nationkey,'%') end my_flightradar24_rating, cast(null as string) temp,
@@ -104,7 +104,7 @@ select strftime(timestamp '2024-01-01'+to_minutes(l_orderkey*31%1440),'%-I:%M %p
 select p_partkey::varchar msn, p_type "type", concat('A',p_partkey) aircraft,
  case when p_partkey%53=0 then null else p_brand end airline,
  case when p_partkey%17=0 then 'N/A' when p_partkey%19=0 then 'Jan 2024 (2024 years)' else concat('Mar 2010 (',p_size,' years)') end first_flight,
- '' photo from part where p_partkey<240
+ '' photo from part
 """,
     "airports_raw": """
 with r as (select n_regionkey k, case when n_nationkey%11=7 then 'N/A' else concat(50+n_nationkey,'%') end my_flightradar24_rating, cast(null as varchar) temp,

@@ -1,8 +1,10 @@
 """Distributed positions and exact quantiles against brute force."""
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
+from tarmac.ml.split import stratified_split
 from tarmac.operators.ranking import exact_quantiles, running_position
 
 
@@ -28,3 +30,31 @@ def test_exact_quantiles_hot_value(spark):
     for c, mult in (("x", 1), ("y", 2)):
         ref = np.percentile(np.array(vals) * mult, [25, 50, 90])
         assert np.allclose([q[c].q25, q[c].q50, q[c].q90], ref)
+
+
+CONFS = [{"spark.sql.adaptive.enabled": "false"},
+         {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k", "spark.sql.execution.rangeExchange.sampleSizePerPartition": "3"}]
+
+
+@pytest.mark.parametrize("conf", CONFS)
+def test_many_rows_with_wide_payload(spark, conf):
+    """2,000,000 rows: no row lost, every position once, exact split sizes and quartiles, AQE on and off."""
+    n = 2_000_000
+    old = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        df = spark.range(n).select((F.col("id") % 2).alias("g"), F.md5(F.col("id").cast("string")).alias("k"),
+                                   F.repeat(F.md5(F.col("id").cast("string")), 12).alias("payload"))
+        pos = running_position(df, ["k"], ["g"], out="p", rows_per_bucket=100_000).agg(
+            F.count("*").alias("n"), F.countDistinct("g", "p").alias("d"), F.max("p").alias("m"), F.max("payload")).first()
+        assert (pos.n, pos.d, pos.m) == (n, n, n // 2 - 1)
+        split = stratified_split(df, "g", F.col("k"), 0.2, 7).groupBy("g", "is_test").agg(F.count("*").alias("n"), F.max("payload")).collect()
+        assert {(r.g, r.is_test): r.n for r in split} == {(g, t): n // 10 if t else 4 * n // 10 for g in (0, 1) for t in (True, False)}
+        v = spark.range(n).select(F.col("id").cast("double").alias("x"), (F.col("id") * 3).cast("double").alias("y"))
+        q = {r.column: r for r in exact_quantiles(v, ["x", "y"], [0.25, 0.5, 0.75], rows_per_bucket=100_000).collect()}
+        for c, k in (("x", 1), ("y", 3)):
+            assert [q[c].q25, q[c].q50, q[c].q75] == [k * (n - 1) * p for p in (0.25, 0.5, 0.75)]
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
