@@ -17,10 +17,16 @@ def _c(c: ColumnOrName) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def digits_text(c: ColumnOrName, extra: str = "") -> Column:
+    """Digits (plus optional extra characters) of a text; null when none is
+    left, as a cast that fails costs far more than one of a null."""
+    return F.nullif(F.regexp_replace(_c(c), f"[^0-9{extra}]", ""), F.lit(""))
+
+
 # keep digits (plus optional extra characters) and cast.
 def keep_digits(c: ColumnOrName, extra: str = "", to: str = "int") -> Column:
     """``'29.92 in'`` -> 29.92 (``extra='.'``); ``'-3 °F'`` -> -3 (``extra='-'``)."""
-    return F.regexp_replace(_c(c), f"[^0-9{extra}]", "").try_cast(to)
+    return digits_text(c, extra).try_cast(to)
 
 
 # keep ASCII letters, digits and blanks.

@@ -2,34 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tarmac.functions import columns as C
 
-# A side is broadcast only when the optimizer's size estimate of its plan is
-# at most this many bytes; above it the join stays a shuffle join and AQE
-# decides at runtime from real sizes.
-BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
-
-
-def estimated_bytes(df: DataFrame) -> int | None:
-    """Optimizer size estimate of a plan (an upper bound for scans, filters,
-    projections and aggregates); None when unavailable."""
-    try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
-    except Exception:  # noqa: BLE001 - e.g. Spark Connect: no JVM handle
-        return None
-
-
-def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
-    """Broadcast hint behind a size check; otherwise leave the side as is."""
-    size = estimated_bytes(df)
-    if size is not None and size <= limit:
-        return F.broadcast(df)
-    return df
-
-
 # D14 (J1 + J2 + J3)
 def join_flights(flights: DataFrame, weather: DataFrame, airports: DataFrame,
                  aircrafts: DataFrame, normalize_key: bool = False,
@@ -37,26 +14,44 @@ def join_flights(flights: DataFrame, weather: DataFrame, airports: DataFrame,
     """Flights x hourly weather x airport facts x aircraft facts (inner).
 
     J1 (rounded_hour, airport) is a fact-to-fact shuffle join: both sides grow
-    with the data. J2/J3 join small dimensions and are broadcast behind a
-    size check. ``normalize_key`` lower-cases the flights' aircraft key (the
+    with the data. J2/J3 join dimensions without a hint: Spark broadcasts a side
+    below ``spark.sql.autoBroadcastJoinThreshold``, at run time (AQE) by its
+    real size, and shuffles it beyond that. ``normalize_key`` lower-cases the flights' aircraft key (the
     aircraft side is lower-cased by its cleaning; the reference leaves the
     flight side as is). ``distinct`` adds the packaged job's final dedup.
     """
     if normalize_key:
         flights = flights.withColumn("aircraft", F.lower("aircraft"))
     out = flights.join(weather, ["rounded_hour", "airport"], "inner")
-    out = out.join(broadcast_if_small(airports), ["airport"], "inner").drop("time_diff")
-    out = out.join(broadcast_if_small(aircrafts), ["aircraft"], "inner")
+    out = out.join(airports, ["airport"], "inner").drop("time_diff")
+    out = out.join(aircrafts, ["aircraft"], "inner")
     return out.distinct() if distinct else out
 
 
+# J5, one message an hour
+def latest_forecast(weather: DataFrame, order: str | None = None) -> DataFrame:
+    """One live forecast per (timestamp, location): the last in ``order`` (a column
+    that tells when a message arrived), else the greatest row in column order.
+    Limited inside every map task before the shuffle."""
+    keys = ["timestamp", "location"]
+    rest = [order] if order else []
+    rest += [c for c in weather.columns if c not in keys and c != order]
+    w = Window.partitionBy(*keys).orderBy(*[F.col(c).desc_nulls_last() for c in rest])
+    return weather.withColumn("_last", F.row_number().over(w)).filter(F.col("_last") == 1).drop("_last")
+
+
 # J4 + J5 (scoring side)
-def join_live(flights: DataFrame, weather: DataFrame, airports: DataFrame) -> DataFrame:
+def join_live(flights: DataFrame, weather: DataFrame, airports: DataFrame, forecasts: str = "all") -> DataFrame:
     """Live flights with airport facts (to = airport, both kept) and with the
-    live forecast ((rounded_hour, to) = (timestamp, location))."""
-    a = broadcast_if_small(airports)
-    out = flights.join(a, flights["to"] == a["airport"], "inner")
-    w = weather.drop("date")  # the flight's date stays the row's date
+    live forecast ((rounded_hour, to) = (timestamp, location)).
+
+    ``forecasts="all"`` (reference) meets every message of the hour, so rows
+    grow with flights x messages; ``"latest"`` keeps one message per hour and
+    place, so a flight gives at most one row per airport row."""
+    if forecasts not in ("all", "latest"):
+        raise ValueError("forecasts must be 'all' or 'latest'")
+    out = flights.join(airports, flights["to"] == airports["airport"], "inner")
+    w = (latest_forecast(weather) if forecasts == "latest" else weather).drop("date")  # the flight's date stays the row's date
     return out.join(w, (out["rounded_hour"] == w["timestamp"]) & (out["to"] == w["location"]), "inner")
 
 

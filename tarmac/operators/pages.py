@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tarmac.functions import columns as C
-from tarmac.operators.joins import broadcast_if_small
 
 HREF = r'href="([^"]*)"'
 ROW = r"(?s)<tr[^>]*>(.*?)</tr>"
@@ -22,10 +21,10 @@ TAG = r"<[^>]+>"
 # X1
 def extract_links(pages: DataFrame, allow: DataFrame, allow_col: str = "key") -> DataFrame:
     """Distinct hrefs whose last path segment is in the allow-list (a
-    left-semi join; the list is broadcast behind a size check)."""
+    left-semi join; Spark broadcasts the list where it is small)."""
     links = pages.select(F.explode(F.regexp_extract_all("html", F.lit(HREF), 1)).alias("href"))
     links = links.withColumn("key", C.url_key("href"))
-    a = broadcast_if_small(allow.select(F.col(allow_col).alias("key")).distinct())
+    a = allow.select(F.col(allow_col).alias("key")).distinct()
     return links.join(a, "key", "left_semi").select("href").distinct()
 
 
@@ -63,36 +62,43 @@ def extract_comments(pages: DataFrame, css_class: str = "content", key_col: str
 
 
 # X4
-def extract_details(pages: DataFrame, item_tag: str = "li", label_class: str = "label",
-                    value_class: str = "value") -> DataFrame:
-    """Label/value list items -> one JSON object text per page.
-
-    Wind items split into direction and speed with unit; a UV index is taken
-    only from a second value; other labels become field names (lower case,
-    blanks -> '_')."""
+def extract_details(pages: DataFrame, block_tag: str = "details", item_tag: str = "li", label_class: str = "label",
+                    value_class: str = "value", hour_class: str = "hour") -> DataFrame:
+    """(page_id, block, hour, details): one row per ``<details>`` block of a page,
+    with the block's hour label and its label/value items as a map.
+
+    A wind item gives direction and speed with unit: its direction is the
+    text of the first inner span of the value, or the value's first word, the
+    speed what follows. A UV index is taken only from a second value; other
+    labels become field names (lower case, blanks -> '_'). Of items with one
+    name the last counts. Blocks without a usable item have an empty map."""
+    block = rf"(?s)<{block_tag}[^>]*>(.*?)</{block_tag}>"
     item = rf"(?s)<{item_tag}[^>]*>(.*?)</{item_tag}>"
+    hour = rf'(?s)<span class="{hour_class}"[^>]*>(.*?)</span>'
     lab = rf'(?s)<span class="{label_class}"[^>]*>(.*?)</span>'
-    val = rf'(?s)<span class="{value_class}"[^>]*>(.*?)</span>'
-    items = pages.select("page_id", F.posexplode(F.regexp_extract_all("html", F.lit(item), 1)).alias("pos", "li"))
-    items = items.select("page_id", "pos", F.trim(F.regexp_replace(F.regexp_extract("li", lab, 1), TAG, "")).alias("label"),
-                         F.transform(F.regexp_extract_all("li", F.lit(val), 1),
-                                     lambda x: F.trim(F.regexp_replace(x, TAG, ""))).alias("values"))
-    items = items.filter((F.col("label") != "") & (F.size("values") > 0) & (F.col("values")[0] != ""))
-    wind_parts = F.split(F.col("values")[0], " ")
-    entries = F.when(F.col("label").contains("Wind"), F.array(
-        F.struct(F.lit("wind_direction").alias("k"), F.get(wind_parts, 0).alias("v")),
-        F.struct(F.lit("wind_speed").alias("k"),
-                 F.concat_ws(" ", F.get(wind_parts, 1), F.get(wind_parts, 2)).alias("v")))) \
-        .when(F.col("label").contains("Humidity"),
-              F.array(F.struct(F.lit("humidity").alias("k"), F.col("values")[0].alias("v")))) \
-        .when(F.col("label").contains("UV Index"),
-              F.when(F.size("values") == 2, F.array(F.struct(F.lit("uv_index").alias("k"), F.col("values")[1].alias("v"))))
-               .otherwise(F.array().cast("array<struct<k:string,v:string>>"))) \
-        .otherwise(F.array(F.struct(C.field_name("label").alias("k"), F.col("values")[0].alias("v"))))
-    kv = items.select("page_id", "pos", F.explode(entries).alias("e")).select("page_id", "pos", "e.k", "e.v")
-    per_page = kv.groupBy("page_id").agg(F.sort_array(F.collect_list(F.struct("pos", "k", "v"))).alias("kv"))
-    return per_page.select("page_id", F.to_json(F.map_from_entries(F.transform(
-        "kv", lambda s: F.struct(s["k"], s["v"])))).alias("details"))
+    val = rf'(?s)<span class="{value_class}"[^>]*>((?:<span[^>]*>.*?</span>|.)*?)</span>'  # spans inside the value's span
+    plain = lambda x: F.trim(F.regexp_replace(F.regexp_replace(x, TAG, " "), r"\s+", " "))
+    b = pages.select("page_id", F.posexplode(F.regexp_extract_all("html", F.lit(block), 1)).alias("block", "b"))
+    b = b.withColumn("hour", plain(F.regexp_extract("b", hour, 1)))
+    items = b.select("page_id", "block", "hour", F.posexplode_outer(F.regexp_extract_all("b", F.lit(item), 1)).alias("pos", "li"))
+    items = items.select("page_id", "block", "hour", "pos", plain(F.regexp_extract("li", lab, 1)).alias("label"),
+                         F.transform(F.regexp_extract_all("li", F.lit(val), 1), plain).alias("values"))
+    usable = (F.col("label") != "") & (F.size("values") > 0) & (F.get("values", F.lit(0)) != "")
+    first = F.get("values", F.lit(0))
+    words = F.split(first, " ", 2)
+    one = lambda k, v: F.array(F.struct(k.alias("k"), v.alias("v")))
+    none = F.array().cast("array<struct<k:string,v:string>>")
+    entries = F.when(~usable | usable.isNull(), none) \
+        .when(F.col("label").contains("Wind"), F.concat(one(F.lit("wind_direction"), F.get(words, 0)),
+                                                        one(F.lit("wind_speed"), F.coalesce(F.get(words, 1), F.lit(""))))) \
+        .when(F.col("label").contains("Humidity"), one(F.lit("humidity"), first)) \
+        .when(F.col("label").contains("UV Index"), F.when(F.size("values") == 2, one(F.lit("uv_index"), F.get("values", F.lit(1)))).otherwise(none)) \
+        .otherwise(one(C.field_name("label"), first))
+    kv = items.select("page_id", "block", "hour", "pos", F.explode_outer(entries).alias("e"))
+    per_key = kv.groupBy("page_id", "block", "hour", F.col("e.k").alias("k")).agg(F.max_by(F.col("e.v"), "pos").alias("v"), F.min("pos").alias("pos"))
+    entry = F.when(F.col("k").isNotNull(), F.struct("pos", "k", "v"))
+    blocks = per_key.groupBy("page_id", "block", "hour").agg(F.array_sort(F.collect_list(entry)).alias("kv"))
+    return blocks.select("page_id", "block", "hour", F.map_from_entries(F.transform("kv", lambda s: F.struct(s["k"], s["v"]))).alias("details"))
 
 
 # W6
@@ -112,11 +118,12 @@ def day_rollover(labels: DataFrame, group: str, order: str, label: str = "hour")
 def forecast_messages(df: DataFrame, start_date: str, year: int, label: str = "hour",
                       details: str = "details") -> DataFrame:
     """W6 day offsets + 'h am/pm' labels + a given year -> the live weather
-    message JSON {date 'yyyy-MM-dd HH:mm:ss', hour, details}."""
+    message JSON {date 'yyyy-MM-dd HH:mm:ss', hour, details}, ``details`` an
+    object. A 29 February that the given year lacks has a null date, which
+    JSON leaves out."""
     day = F.date_add(F.lit(start_date).cast("date"), F.col("day_offset").cast("int"))
-    day = F.make_date(F.lit(year), F.month(day), F.dayofmonth(day))
-    ts = F.try_to_timestamp(F.concat_ws(" ", F.date_format(day, "yyyy-MM-dd"), F.upper(F.col(label))),
-                            F.lit("yyyy-MM-dd h a"))
+    text = F.concat(F.lit(f"{year:04d}-"), F.date_format(day, "MM-dd"), F.lit(" "), F.upper(F.col(label)))
+    ts = F.try_to_timestamp(text, F.lit("yyyy-MM-dd h a"))
     return df.select(F.to_json(F.struct(F.date_format(ts, "yyyy-MM-dd HH:mm:ss").alias("date"),
                                         F.col(label).alias("hour"), F.col(details).alias("details"))).alias("value"))
 

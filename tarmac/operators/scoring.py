@@ -60,5 +60,9 @@ def score_comments(df: DataFrame, classifier: Callable[[pd.Series], pd.Series] |
 def resume_scoring(todo: DataFrame, done: DataFrame, keys: list[str],
                    classifier: Callable[[pd.Series], pd.Series] | None = None) -> DataFrame:
     """Score only rows whose key is not yet in ``done`` (anti join), so a
-    rerun after a failure appends each comment once."""
-    return score_comments(todo.join(done.select(*keys).distinct(), keys, "left_anti"), classifier)
+    rerun after a failure appends each comment once. Keys meet as a 256-bit
+    digest of their values (a null differs from an empty text), so no text is
+    shuffled from ``done`` and rows with null keys count as done too."""
+    digest = F.sha2(F.to_json(F.struct(*[F.col(f"`{k}`").cast("string").alias(f"k{i}") for i, k in enumerate(keys)])), 256)
+    seen = done.select(digest.alias("_key")).distinct()
+    return score_comments(todo.withColumn("_key", digest).join(seen, "_key", "left_anti").drop("_key"), classifier)

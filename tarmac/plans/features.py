@@ -46,12 +46,29 @@ def encoded_training(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
 
 
 _MODEL_TABLES: dict = {}
+#: Tables that the joined table and its code tables are made of.
+_INPUTS = ("events", "lineitem", "nation", "part", "customer", "supplier", "orders")
+
+
+def input_state(spark, sf_dir) -> tuple:
+    """Files, sizes and change times of the input tables, so that a table kept
+    for a path is not used once the path holds other data."""
+    import os
+
+    state = []
+    for t in _INPUTS:
+        path = f"{sf_dir}/{t}.parquet"
+        fs_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        fs = fs_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        if fs.exists(fs_path):
+            state += [(os.path.basename(str(f.getPath())), f.getLen(), f.getModificationTime()) for f in fs.listStatus(fs_path)]
+    return tuple(state)
 
 
 def model_table(spark, sf_dir, seed: int = 42, test_fraction: float = 0.2) -> tuple[DataFrame, DataFrame]:
     """Encoded training table with the stratified ``is_test`` flag (M4),
     materialised once per session and input, and the code table."""
-    key = (id(spark), spark.sparkContext.applicationId, sf_dir, seed, test_fraction)
+    key = (id(spark), spark.sparkContext.applicationId, sf_dir, input_state(spark, sf_dir), seed, test_fraction)
     if key not in _MODEL_TABLES:
         enc, codes = encoded_training(spark, sf_dir)
         split = stratified_split(enc, "status", F.col("row_key"), test_fraction, seed)
@@ -59,11 +76,11 @@ def model_table(spark, sf_dir, seed: int = 42, test_fraction: float = 0.2) -> tu
     return _MODEL_TABLES[key]
 
 
-def live_joined(spark, sf_dir, location: str = LIVE_LOCATION) -> DataFrame:
+def live_joined(spark, sf_dir, location: str = LIVE_LOCATION, forecasts: str = "all") -> DataFrame:
     """Live flights (D12) x airport facts (J4) x live forecast."""
     fl = flights.clean_flights_stream(fixtures.flights_msg(spark, sf_dir))
     w = weather.clean_weather_stream(T.raw(spark, sf_dir, "weather_msg"), location=location)
-    return joins.join_live(fl, w, T.airports_clean(spark, sf_dir))
+    return joins.join_live(fl, w, T.airports_clean(spark, sf_dir), forecasts)
 
 
 def scoring_features(spark, sf_dir, location: str = LIVE_LOCATION) -> DataFrame:
@@ -80,7 +97,7 @@ def oversampled_train(spark, sf_dir, seed: int = 42) -> DataFrame:
     from tarmac.ml.smote import smote
     from tarmac.schemas import FEATURE_COLUMNS
 
-    key = (id(spark), spark.sparkContext.applicationId, sf_dir, seed)
+    key = (id(spark), spark.sparkContext.applicationId, sf_dir, input_state(spark, sf_dir), seed)
     if key not in _OVERSAMPLED:
         split, _ = model_table(spark, sf_dir, seed)
         train = split.filter(~F.col("is_test"))

@@ -100,6 +100,19 @@ def j4_j5_live_join(spark, sf_dir):
                                "my_flightradar24_rating", "temperature", "precip"))
 
 
+_LATEST = """latest AS (SELECT * FROM weather_live QUALIFY row_number() OVER (PARTITION BY "timestamp", location ORDER BY temperature DESC NULLS LAST,
+  wind_direction DESC NULLS LAST, wind_speed DESC NULLS LAST, humidity DESC NULLS LAST, cloud_cover DESC NULLS LAST, precip DESC NULLS LAST) = 1)"""
+
+
+@query("j5_latest_live_join", with_tables("flights_live", "airports_clean", "weather_live", extra=[_LATEST]) + """
+SELECT f.flight, f."to", a.airport, f.rounded_hour, w."timestamp", w.location, a.my_flightradar24_rating, w.temperature, w.precip
+FROM flights_live f JOIN airports_clean a ON f."to" = a.airport JOIN latest w ON f.rounded_hour = w."timestamp" AND f."to" = w.location""")
+def j5_latest_live_join(spark, sf_dir):
+    j = FT.live_joined(spark, sf_dir, forecasts="latest")
+    return T.portable(j.select("flight", "to", "airport", "rounded_hour", "timestamp", "location",
+                               "my_flightradar24_rating", "temperature", "precip"))
+
+
 @query("m1_label_codes", with_tables("joined", extra=[TRAIN, CODES]) + "SELECT * FROM codes")
 def m1_label_codes(spark, sf_dir):
     return fit_label_codes(FT.training_features(spark, sf_dir), ENCODED_COLUMNS)
@@ -226,11 +239,11 @@ def _regressor_run(kind: str, **params):
 
 
 query("m7_gbt_classifier")(_classifier_run("gbt"))
-query("m8_random_forest_classifier")(_classifier_run("random_forest", numTrees=50))
+query("m8_random_forest_classifier")(_classifier_run("random_forest"))
 query("m9_linear_regression")(_regressor_run("linear"))
 query("m10_decision_tree_regressor")(_regressor_run("decision_tree"))
 query("m11_gbt_regressor")(_regressor_run("gbt"))
-query("m12_random_forest_regressor")(_regressor_run("random_forest", numTrees=50))
+query("m12_random_forest_regressor")(_regressor_run("random_forest"))
 
 
 @query("m3_feature_vectors")
@@ -241,7 +254,7 @@ def m3_feature_vectors(spark, sf_dir):
 
 @query("m13_m14_holdout_report")
 def m13_m14_holdout_report(spark, sf_dir):
-    return _r(evaluate.classification_report(_classifier_run("random_forest", numTrees=50)(spark, sf_dir),
+    return _r(evaluate.classification_report(_classifier_run("random_forest")(spark, sf_dir),
                                              "status", "prediction"))
 
 
@@ -252,7 +265,7 @@ def m15_holdout_confusion(spark, sf_dir):
 
 @query("m16_holdout_regression_metrics")
 def m16_holdout_regression_metrics(spark, sf_dir):
-    return _r(evaluate.regression_metrics(_regressor_run("random_forest", numTrees=50)(spark, sf_dir),
+    return _r(evaluate.regression_metrics(_regressor_run("random_forest")(spark, sf_dir),
                                           "arrival_delay", "prediction"))
 
 
@@ -264,16 +277,16 @@ def a12_predicted_class_counts(spark, sf_dir):
 @query("m17_feature_importance")
 def m17_feature_importance(spark, sf_dir):
     train, _, _ = _train_test(spark, sf_dir)
-    m = models.fit(train, "random_forest", "status", "classification", seed=SEED, numTrees=50)
+    m = models.fit(train, "random_forest", "status", "classification", seed=SEED)
     return models.feature_importance(spark, m)
 
 
 def scored_live(spark, sf_dir):
     """Train both stages on the history, score the live flights."""
     train, _, codes = _train_test(spark, sf_dir)
-    clf = models.fit(train, "random_forest", "status", "classification", seed=SEED, numTrees=50)
+    clf = models.fit(train, "random_forest", "status", "classification", seed=SEED)
     reg_train, _ = _regression_data(spark, sf_dir)
-    reg = models.fit(reg_train, "random_forest", "arrival_delay", "regression", seed=SEED, numTrees=50)
+    reg = models.fit(reg_train, "random_forest", "arrival_delay", "regression", seed=SEED)
     live = P.encode_for_scoring(FT.scoring_features(spark, sf_dir), codes)
     return P.predict_delays(live, clf, reg)
 

@@ -82,6 +82,58 @@ def w6_x5_hour_labels(spark, sf_dir):
     return d.withColumn("message_date", F.date_format(ts, "yyyy-MM-dd HH:mm:ss"))
 
 
+def forecast_pages(spark, sf_dir):
+    """Stored forecast pages built from the events, three to a page: a
+    ``<details>`` block with an hour label and label/value items each."""
+    e = fixtures.table(spark, sf_dir, "events")
+    item = lambda label, *v: F.concat(F.lit(f'<li><span class="label">{label}</span>'), *[
+        F.concat(F.lit('<span class="value">'), x, F.lit("</span>")) for x in v], F.lit("</li>"))
+    n = F.col("event_id")
+    text = lambda x, unit: F.concat((x).cast("string"), F.lit(unit))
+    direction = F.element_at(F.array(*map(F.lit, _WINDS)), (n % 4 + 1).cast("int"))
+    wind = F.when(n % 3 == 0, F.concat(F.lit("<span>"), direction, F.lit("</span> <span>"), text(n % 40, "</span> mph"))) \
+        .otherwise(F.concat(direction, F.lit(" "), text(n % 40, " mph")))
+    block = F.concat(
+        F.lit('<details><summary><span class="hour">'), F.lower(F.date_format("ts", "h a")), F.lit("</span></summary><ul>"),
+        item("Feels Like", text(n % 60 - 10, "°")), item("Wind", wind), item("Humidity", text(n % 100, "%")),
+        F.when(n % 2 == 0, item("UV Index", F.lit("low"), text(n % 11, " of 11"))).otherwise(item("UV Index", F.lit("low"))),
+        item("Cloud Cover", text(n % 90, "%")), F.when(n % 5 == 0, item("Rain Amount", F.lit(""))).otherwise(item("Rain Amount", text(n % 7, " in"))),
+        F.lit("</ul></details>"))
+    p = e.groupBy(F.floor(n / 3).alias("page_id")).agg(F.array_sort(F.collect_list(F.struct(n, block.alias("b")))).alias("p"))
+    return p.select("page_id", F.array_join(F.transform("p", lambda x: x["b"]), "").alias("html"))
+
+
+_WINDS = ["N", "ESE", "WSW", "SW"]
+_FORECAST_BLOCKS = """b AS (SELECT event_id // 3 AS page_id, row_number() OVER (PARTITION BY event_id // 3 ORDER BY event_id) - 1 AS block,
+       lower(strftime(ts, '%-I %p')) AS hour, (event_id % 60 - 10) || '°' AS feels_like,
+       (['N', 'ESE', 'WSW', 'SW'])[event_id % 4 + 1] AS wind_direction, (event_id % 40) || ' mph' AS wind_speed, (event_id % 100) || '%' AS humidity,
+       CASE WHEN event_id % 2 = 0 THEN (event_id % 11) || ' of 11' END AS uv_index, (event_id % 90) || '%' AS cloud_cover,
+       CASE WHEN event_id % 5 <> 0 THEN (event_id % 7) || ' in' END AS rain_amount
+     FROM events)"""
+_DETAILS = ["feels_like", "wind_direction", "wind_speed", "humidity", "uv_index", "cloud_cover", "rain_amount"]
+
+
+@query("x4_extract_details", f"WITH {_FORECAST_BLOCKS} SELECT page_id, CAST(block AS INTEGER) AS block, hour, {', '.join(_DETAILS)} FROM b")
+def x4_extract_details(spark, sf_dir):
+    d = pages.extract_details(forecast_pages(spark, sf_dir))
+    return d.select("page_id", "block", "hour", *[F.col("details")[k].alias(k) for k in _DETAILS])
+
+
+@query("x5_forecast_messages", f"""
+WITH {_FORECAST_BLOCKS},
+s AS (SELECT *, CASE WHEN lag(hour) OVER w IS NULL THEN 1 WHEN contains(hour, 'am') AND contains(lag(hour) OVER w, 'pm') THEN 1 ELSE 0 END AS st
+      FROM b WINDOW w AS (PARTITION BY page_id ORDER BY block)),
+d AS (SELECT *, sum(st) OVER (PARTITION BY page_id ORDER BY block ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS day_offset FROM s)
+SELECT concat('{{"date":"', strftime(strptime(strftime(DATE '2024-05-06' + CAST(day_offset AS INTEGER), '%Y-%m-%d') || ' ' || upper(hour), '%Y-%m-%d %I %p'),
+  '%Y-%m-%d %H:%M:%S'), '","hour":"', hour, '","details":{{"feels_like":"', feels_like, '","wind_direction":"', wind_direction, '","wind_speed":"', wind_speed,
+  '","humidity":"', humidity, CASE WHEN uv_index IS NULL THEN '' ELSE concat('","uv_index":"', uv_index) END, '","cloud_cover":"', cloud_cover,
+  CASE WHEN rain_amount IS NULL THEN '' ELSE concat('","rain_amount":"', rain_amount) END, '"}}}}') AS "value"
+FROM d""")
+def x5_forecast_messages(spark, sf_dir):
+    blocks = pages.day_rollover(pages.extract_details(forecast_pages(spark, sf_dir)), "page_id", "block")
+    return pages.forecast_messages(blocks, "2024-05-06", 2024)
+
+
 @query("w8_date_spine", with_tables("airports_clean") + """
 SELECT airport, CAST(unnest(generate_series(DATE '2024-05-07' - 365, DATE '2024-05-07', INTERVAL 1 DAY)) AS DATE) AS "date"
 FROM (SELECT DISTINCT airport FROM airports_clean)""")

@@ -39,7 +39,7 @@ def get_session(
     conf = dict(BASE_CONF)
     if master and master.startswith("local"):
         # Local mode: the driver JVM is the only executor.
-        conf["spark.driver.memory"] = os.environ.get("TARMAC_DRIVER_MEMORY", "16g")
+        conf["spark.driver.memory"] = os.environ.get("TARMAC_DRIVER_MEMORY", "8g")
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra_conf or {})
@@ -60,8 +60,10 @@ def ensure_utc(spark: SparkSession) -> None:
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared checkpoint folder of the cluster (``spark.checkpoint.dir``).
 
-    The cluster's value always wins. Only when it is unset (local runs and
-    tests) a fresh local folder is created and registered.
+    The cluster's value always wins. Only on a ``local`` master (local runs
+    and tests) may it be unset: a fresh local folder is created and
+    registered. On a cluster each executor would write such a folder on a
+    disk of its own, so there an unset value is an error.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if current:
@@ -71,6 +73,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     existing = spark.sparkContext.getCheckpointDir()
     if existing:
         return existing
+    if not spark.sparkContext.master.split("[")[0] == "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
     local = tempfile.mkdtemp(prefix="tarmac-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.sparkContext.setCheckpointDir(local)
     return local

@@ -94,14 +94,17 @@ def write_messages(df: DataFrame, topic: str, options: dict[str, str]) -> None:
 
 # K8
 def compact_partitions(spark: SparkSession, src: str, dst: str, column: str = "date",
-                       files_per_partition: int = 1, fmt: str = "csv") -> None:
+                       rows_per_file: int = 1_000_000, fmt: str = "csv") -> None:
     """Many small files per ``column=`` partition -> few files per partition,
-    in one distributed job (no per-date driver loop). Rows of one partition
-    are spread over ``files_per_partition`` writer tasks by a row hash, so a
-    date holding a third of the data can still be split."""
+    in one distributed job (no per-date driver loop). Rows are counted per
+    partition value first; a value gets one writer task for each
+    ``rows_per_file`` rows, by a row hash, so a date holding a third of the
+    data is split and its files stay of bounded size."""
     reader = spark.read.option("header", True) if fmt == "csv" else spark.read
     df = reader.format(fmt).load(src)
-    salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(files_per_partition))
-    out = df.repartition(column, salt) if files_per_partition > 1 else df.repartition(column)
+    files = df.groupBy(F.col(column).alias("_k")).agg(F.ceil(F.count(F.lit(1)) / rows_per_file).cast("int").alias("_files"))
+    out = df.join(files, df[column].eqNullSafe(files["_k"]), "left").drop("_k")
+    salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.col("_files"))
+    out = out.withColumn("_salt", salt).repartition(column, "_salt").drop("_files", "_salt")
     w = out.write.mode("overwrite").partitionBy(column)
     (w.option("header", True) if fmt == "csv" else w).format(fmt).save(dst)

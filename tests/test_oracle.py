@@ -10,10 +10,12 @@ import pytest
 from tests.conftest import SF_SMALL
 
 import __spark_entry__ as E
+from tarmac.plans import catalog
 from tarmac.sources.fixtures import DRIVER_TABLES
 
-SQL = E.oracle_sql()
-# Model-training queries are covered by test_ml; everything with an oracle here.
+# Model-training queries are covered by test_ml; everything with an oracle here. Queries of the optional
+# training-data part have tests of their own beside it.
+SQL = catalog.oracle_sql()
 NAMES = sorted(SQL)
 
 

@@ -35,3 +35,23 @@ def test_no_python_in_cleaning_plans(spark):
     for df in (T.joined(spark, SF_SMALL), T.reviews_clean(spark, SF_SMALL)):
         s = _plan(df)
         assert "BatchEvalPython" not in s and "ArrowEvalPython" not in s and "MapInPandas" not in s
+
+
+def test_weather_survivor_needs_no_sort_aggregate(spark):
+    s = _plan(T.weather_clean(spark, SF_SMALL))
+    assert "SortAggregate" not in s and "WindowGroupLimit" in s
+
+
+def test_checkpoint_folder_must_be_shared_on_a_cluster():
+    import pytest
+    from tarmac.session import checkpoint_dir
+
+    class Cluster:
+        conf = property(lambda self: self)
+        sparkContext = property(lambda self: self)
+        master = "spark://host:7077"
+        get = staticmethod(lambda key, default=None: default)
+        getCheckpointDir = staticmethod(lambda: None)
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        checkpoint_dir(Cluster())

@@ -76,17 +76,22 @@ def test_messages_round_trip_and_compaction(spark, scratch):
 
 def test_details_and_forecast_messages(spark):
     from tarmac.operators import pages
-    html = ('<ul><li><span class="label">Wind</span><span class="value">N 7 mph</span></li>'
-            '<li><span class="label">Humidity</span><span class="value">55%</span></li>'
-            '<li><span class="label">UV Index</span><span class="value">2</span><span class="value">3 of 11</span></li>'
-            '<li><span class="label">Cloud Cover</span><span class="value">20%</span></li></ul>')
-    d = pages.extract_details(spark.createDataFrame([(1, html)], "page_id long, html string")).collect()[0]
+    item = lambda label, *values: f'<li><span class="label">{label}</span>' + "".join(f'<span class="value">{v}</span>' for v in values) + "</li>"
+    block = lambda hour, *items: f'<details><span class="hour">{hour}</span><ul>{"".join(items)}</ul></details>'
+    html = (block("10 pm", item("Wind", "N 7 mph"), item("Humidity", "55%"), item("UV Index", "2", "3 of 11"), item("Cloud Cover", "20%"))
+            + block("11 pm", item("Wind", "<span>WSW</span> <span>12</span> mph"), item("Humidity", "54%"), item("Humidity", "53%"), item("UV Index", "2"))
+            + block("12 am", item("", "x"), item("Empty", "")))
+    rows = pages.extract_details(spark.createDataFrame([(1, html)], "page_id long, html string")).orderBy("block").collect()
     import json
-    assert json.loads(d.details) == {"wind_direction": "N", "wind_speed": "7 mph", "humidity": "55%",
-                                     "uv_index": "3 of 11", "cloud_cover": "20%"}
+    assert [(r.hour, r.details) for r in rows] == [
+        ("10 pm", {"wind_direction": "N", "wind_speed": "7 mph", "humidity": "55%", "uv_index": "3 of 11", "cloud_cover": "20%"}),
+        ("11 pm", {"wind_direction": "WSW", "wind_speed": "12 mph", "humidity": "53%"}), ("12 am", {})]
     labels = spark.createDataFrame([(1, i, h) for i, h in enumerate(["10 pm", "11 pm", "12 am", "1 am"])],
                                    "g int, i int, hour string")
-    rolled = pages.day_rollover(labels, "g", "i").withColumn("details", F.lit("{}"))
+    rolled = pages.day_rollover(labels, "g", "i").withColumn("details", F.create_map(F.lit("humidity"), F.lit("5%")))
     msgs = [json.loads(r.value) for r in pages.forecast_messages(rolled, "2024-05-06", 2024).orderBy("value").collect()]
     assert [m["date"] for m in msgs] == ["2024-05-07 22:00:00", "2024-05-07 23:00:00",
                                          "2024-05-08 00:00:00", "2024-05-08 01:00:00"]
+    assert msgs[0]["details"] == {"humidity": "5%"}
+    leap = spark.createDataFrame([(0, "1 am")], "day_offset int, hour string").withColumn("details", F.create_map())
+    assert "date" not in json.loads(pages.forecast_messages(leap, "2024-02-29", 2023).first().value)
