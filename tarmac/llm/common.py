@@ -87,6 +87,18 @@ def highest(df: DataFrame, value: Column, most: int) -> DataFrame:
     return df.limit(0) if least is None else df.where((value > 0) & (step >= int(least)))
 
 
+_worker_cache: dict = {}
+
+
+def worker_cache(name, make):
+    """What a Python worker keeps between its tasks. Only the last one asked for is kept, so that the caches of
+    operators that run one after another do not add up."""
+    if name not in _worker_cache:
+        _worker_cache.clear()
+        _worker_cache[name] = make()
+    return _worker_cache[name]
+
+
 def connected_components(edges: DataFrame) -> DataFrame:
     """(node, component) of the undirected ``edges`` (src, dst): the smallest node reachable.
 

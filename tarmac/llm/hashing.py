@@ -3,19 +3,21 @@
 import numpy as np
 import xxhash
 
+from tarmac.llm.common import worker_cache
+
 LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
-CACHE_WORDS = 500_000
-_words: dict[bytes, int] = {}
+CACHE_WORDS = 200_000
 
 
 def word_hashes(words: list[bytes]) -> np.ndarray:
-    found = list(map(_words.get, words))
-    if None in found:
-        if len(_words) > CACHE_WORDS:
-            _words.clear()
-        for i, x in enumerate(found):
-            if x is None:
-                found[i] = _words[words[i]] = xxhash.xxh3_64_intdigest(words[i])
+    known = worker_cache("word hashes", dict)
+    found = list(map(known.get, words))
+    i = -1
+    for _ in range(found.count(None)):
+        i = found.index(None, i + 1)
+        found[i] = h = xxhash.xxh3_64_intdigest(words[i])
+        if len(known) < CACHE_WORDS:
+            known[words[i]] = h
     return np.array(found, np.uint64)
 
 

@@ -113,15 +113,10 @@ class Encoder:
         return b"".join(found)
 
 
-_ENCODERS: dict[tuple, Encoder] = {}
-
-
 def encoder(tokenizer_path: str, end_id: int, dtype: str) -> Encoder:
     """One for each Python worker, so that its tasks share the words met so far."""
     key = (tokenizer_path, end_id, dtype)
-    if key not in _ENCODERS:
-        _ENCODERS[key] = Encoder(*key)
-    return _ENCODERS[key]
+    return C.worker_cache(key, lambda: Encoder(*key))
 
 
 def vocabulary_dtype(tokenizer_path: str, end_id: int) -> str:
