@@ -204,14 +204,11 @@ def m9_linear_regression_one_feature(spark, sf_dir):
 
 
 # ------------------------------------------------------------- model runs
-def _train_test(spark, sf_dir, oversample: bool = False):
-    """Classifier data: the stratified split. ``oversample=True`` grows the
-    training side with SMOTE first, as the reference does; the registered
-    model runs leave it off because the exact neighbour search over the 19
-    raw-scale features is still slow (see README)."""
+def _train_test(spark, sf_dir):
+    """Classifier data: the stratified split, its training side grown with
+    SMOTE over the 19 model features, as the reference trains."""
     split, codes = FT.model_table(spark, sf_dir, SEED)
-    train = FT.oversampled_train(spark, sf_dir, SEED) if oversample else split.filter(~F.col("is_test"))
-    return train, split.filter(F.col("is_test")), codes
+    return FT.oversampled_train(spark, sf_dir, SEED), split.filter(F.col("is_test")), codes
 
 
 def _classifier_run(kind: str, **params):
