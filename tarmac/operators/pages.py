@@ -53,10 +53,23 @@ def carry_header_dates(rows: DataFrame) -> DataFrame:
 # X3
 def extract_comments(pages: DataFrame, css_class: str = "content", key_col: str = "url") -> DataFrame:
     """Texts of ``<div class="<css_class>">`` blocks, commas -> blanks, with
-    the page key (last URL segment) appended."""
-    pat = rf'(?s)<div class="{css_class}"[^>]*>(.*?)</div>'
-    blocks = pages.select(C.url_key(key_col).alias("airport"),
-                          F.explode(F.regexp_extract_all("html", F.lit(pat), 1)).alias("block"))
+    the page key (last URL segment) appended. A block ends at its own close
+    tag: divs inside are counted. A block that is never closed gives nothing;
+    a block of the class inside another is part of the outer one."""
+    start = rf'(?s)^<div class="{css_class}"[^>]*>'
+    pieces = F.split("html", r"(?=<div\b)|(?=</div>)")  # each piece begins with the tag it is cut at
+    state = F.struct(F.array().cast("array<string>").alias("done"), F.lit("").alias("text"), F.lit(0).alias("depth"))
+
+    def step(s, p):
+        opens, closes = p.rlike(r"^<div\b"), p.startswith("</div>")
+        new = lambda done, text, depth: F.struct(done.alias("done"), text.alias("text"), depth.alias("depth"))
+        return F.when(s["depth"] == 0, F.when(p.rlike(start), new(s["done"], F.regexp_replace(p, start, ""), F.lit(1))).otherwise(s)) \
+            .when(opens, new(s["done"], F.concat(s["text"], p), s["depth"] + 1)) \
+            .when(closes & (s["depth"] == 1), new(F.concat(s["done"], F.array(s["text"])), F.lit(""), F.lit(0))) \
+            .when(closes, new(s["done"], F.concat(s["text"], p), s["depth"] - 1)) \
+            .otherwise(new(s["done"], F.concat(s["text"], p), s["depth"]))
+
+    blocks = pages.select(C.url_key(key_col).alias("airport"), F.explode(F.aggregate(pieces, state, step, lambda s: s["done"])).alias("block"))
     text = F.trim(F.regexp_replace(F.regexp_replace("block", TAG, ""), ",", " "))
     return blocks.select(text.alias("comment"), "airport")
 

@@ -12,7 +12,7 @@ from tarmac.operators import dimensions, flights
 from tarmac.plans import tables as T
 from tarmac.plans.oracle import with_tables
 from tarmac.plans.registry import query
-from tarmac.schemas import AIRPORTS, FLIGHTS_HISTORY
+from tarmac.schemas import AIRPORTS, FLIGHTS_HISTORY, REVIEWS
 from tarmac.session import checkpoint_dir
 from tarmac.sinks import writers
 from tarmac.sources import fixtures, readers
@@ -92,6 +92,34 @@ def k6_k7_message_roundtrip(spark, sf_dir):
     return writers.decode_message(msgs, "flights")
 
 
+@query("s1_k2_reviews_csv", with_tables("reviews_raw") + """SELECT "comment", airport FROM reviews_raw""")
+def s1_k2_reviews_csv(spark, sf_dir):
+    """Comments with quotes, commas and line breaks through CSV, unchanged."""
+    path = scratch(spark, "reviews_csv")
+    writers.write_csv(T.raw(spark, sf_dir, "reviews_raw"), path, header=True, quoted_lines=True)
+    return readers.read_csv_typed(spark, path, REVIEWS, header=True, quoted_lines=True)
+
+
+@query("k6_decode_reviews", with_tables("reviews_raw") + """
+SELECT concat_ws(',', replace(coalesce("comment", ''), ',', ' '), replace(airport, ',', ' ')) AS value FROM reviews_raw""")
+def k6_decode_reviews(spark, sf_dir):
+    msgs = writers.to_messages(T.raw(spark, sf_dir, "reviews_raw"), ["comment", "airport"], kind="reviews")
+    return writers.decode_message(msgs, "reviews")
+
+
+_WEATHER_CELLS = ["airport", "date", "time", "temperature", "humidity", "condition"]
+
+
+@query("k6_land_weather", with_tables("weather_raw") + "SELECT concat_ws(',', " + ", ".join(
+    f"coalesce(\"{c}\", '')" for c in _WEATHER_CELLS) + ") AS value FROM weather_raw")
+def k6_land_weather(spark, sf_dir):
+    """Weather messages landed as text lines by the stream sink, read back."""
+    src, out, ck = scratch(spark, "weather_msgs"), scratch(spark, "weather_landed"), scratch(spark, "weather_land_ck")
+    writers.to_messages(T.raw(spark, sf_dir, "weather_raw"), _WEATHER_CELLS, kind="array").write.text(src)
+    writers.land_raw(readers.read_stream(spark, "text", path=src), "weather", out, ck).awaitTermination()
+    return spark.read.text(out)
+
+
 @query("t1_t5_flights_stream_job", with_tables("flights_live") + "SELECT * FROM flights_live")
 def t1_t5_flights_stream_job(spark, sf_dir):
     """The live-flight stream job over message files (availableNow), read

@@ -278,14 +278,34 @@ def m17_feature_importance(spark, sf_dir):
     return models.feature_importance(spark, m)
 
 
-def scored_live(spark, sf_dir):
-    """Train both stages on the history, score the live flights."""
-    train, _, codes = _train_test(spark, sf_dir)
-    clf = models.fit(train, "random_forest", "status", "classification", seed=SEED)
-    reg_train, _ = _regression_data(spark, sf_dir)
-    reg = models.fit(reg_train, "random_forest", "arrival_delay", "regression", seed=SEED)
-    live = P.encode_for_scoring(FT.scoring_features(spark, sf_dir), codes)
-    return P.predict_delays(live, clf, reg)
+_SAVED: dict = {}
+
+
+def saved_models(spark, sf_dir) -> str:
+    """Folder with both stages' models and the code table (M18), trained once
+    per session and input."""
+    key = (spark.sparkContext.applicationId, sf_dir, FT.input_state(spark, sf_dir))
+    if key not in _SAVED:
+        from tarmac.plans.q_io import scratch
+        train, _, codes = _train_test(spark, sf_dir)
+        clf = models.fit(train, "random_forest", "status", "classification", seed=SEED)
+        reg = models.fit(_regression_data(spark, sf_dir)[0], "random_forest", "arrival_delay", "regression", seed=SEED)
+        folder = scratch(spark, "models")
+        P.save_scoring(folder, clf, reg, codes)
+        _SAVED[key] = folder
+    return _SAVED[key]
+
+
+def scored_live(spark, sf_dir, cities: list[str] | None = None):
+    """M19 as a user calls it: both streams' outputs lie partitioned by date,
+    models and codes are loaded, dates (and cities) select the flights."""
+    from tarmac.operators import flights, weather
+    from tarmac.plans.oracle import LIVE_LOCATION
+    from tarmac.plans.q_io import scratch
+    f, w = scratch(spark, "live_flights"), scratch(spark, "live_weather")
+    flights.clean_flights_stream(T.fixtures.flights_msg(spark, sf_dir)).write.partitionBy("date").parquet(f)
+    weather.clean_weather_stream(T.raw(spark, sf_dir, "weather_msg"), location=LIVE_LOCATION).write.partitionBy("date").parquet(w)
+    return P.score_dates(spark, f, w, T.airports_clean(spark, sf_dir), saved_models(spark, sf_dir), "2000-01-01", "2100-01-01", cities)
 
 
 @query("m19_predict_delays")

@@ -6,6 +6,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tarmac.sources.readers import QUOTED
+
 
 def _files(df: DataFrame, files: int | None) -> DataFrame:
     return df.repartition(files) if files else df
@@ -19,8 +21,11 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", files: int
 
 # K2
 def write_csv(df: DataFrame, path: str, header: bool = False, mode: str = "overwrite",
-              files: int | None = None) -> None:
-    _files(df, files).write.mode(mode).option("header", header).csv(path)
+              files: int | None = None, quoted_lines: bool = False) -> None:
+    """``quoted_lines``: cells may hold line breaks and quotes; read them back
+    with the readers' option of the same name."""
+    w = _files(df, files).write.mode(mode).option("header", header)
+    (w.options(**QUOTED) if quoted_lines else w).csv(path)
 
 
 # K3

@@ -95,3 +95,11 @@ def test_details_and_forecast_messages(spark):
     assert msgs[0]["details"] == {"humidity": "5%"}
     leap = spark.createDataFrame([(0, "1 am")], "day_offset int, hour string").withColumn("details", F.create_map())
     assert "date" not in json.loads(pages.forecast_messages(leap, "2024-02-29", 2023).first().value)
+
+
+def test_comment_block_ends_at_its_own_close_tag(spark):
+    from tarmac.operators import pages
+    html = ('<div class="x">no</div><div class="content">a, <div>b <div class="content">c</div></div> d</div> out '
+            '<div class="content"></div><div class="content">never closed')
+    got = pages.extract_comments(spark.createDataFrame([("http://h/DOH", html), ("u", None)], "url string, html string")).collect()
+    assert [(r.comment, r.airport) for r in got] == [("a  b c d", "DOH"), ("", "DOH")]
