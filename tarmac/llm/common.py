@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import io
 import uuid
 import zipfile
 from pathlib import Path
@@ -16,15 +16,28 @@ WORD = r"[^\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+def files(folder: str):
+    """(file system, path in it) of a folder URI, for readers and writers inside tasks."""
+    from pyarrow import fs
+
+    return fs.FileSystem.from_uri(folder)
+
+
 def shipped(spark: SparkSession) -> None:
-    """Give executors this package, as ``--py-files`` does, once a context: tasks import it by name."""
+    """Give executors this package, as ``--py-files`` does, once a context: tasks import it by name. The archive
+    lies in the shared folder."""
     sc, package = spark.sparkContext, Path(__file__).resolve().parents[1]
     if getattr(sc, "_package_shipped", None) != package:
-        archive = f"{tempfile.mkdtemp()}/{package.name}.zip"  # on the driver; Spark's file server hands it out
+        archive = io.BytesIO()
         with zipfile.ZipFile(archive, "w") as z:
-            for f in package.rglob("*.py"):
-                z.write(f, f.relative_to(package.parent))
-        sc.addPyFile(archive)
+            for f in sorted(package.rglob("*.py")):
+                z.writestr(str(f.relative_to(package.parent)), f.read_bytes())
+        folder = f"{checkpoint_dir(spark).rstrip('/')}/package-{uuid.uuid4().hex}"
+        system, path = files(folder)
+        system.create_dir(path, recursive=True)
+        with system.open_output_stream(f"{path}/{package.name}.zip") as out:
+            out.write(archive.getvalue())
+        sc.addPyFile(f"{folder}/{package.name}.zip")
         sc._package_shipped = package
 
 

@@ -149,12 +149,6 @@ def _codec(dictionary: bytes, level: int | None = None):
     return zstd.ZstdCompressor(level=level, **d) if level is not None else zstd.ZstdDecompressor(**d)
 
 
-def _files(folder: str):
-    from pyarrow import fs
-
-    return fs.FileSystem.from_uri(folder)
-
-
 def write_tokens(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int = 1, level: int = 1, order: list[str] | None = None) -> DataFrame:
     """Write shards of ``docs`` (doc_id, text) below ``folder``, a path that driver and executors share, in
     ascending order of doc_id or of the columns ``order``; returns the manifest as read back."""
@@ -165,7 +159,7 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int
     dtype = vocabulary_dtype(tokenizer_path, end_id)
     dictionary = train_dictionary(docs, tokenizer_path, end_id, dtype)
     sha = hashlib.sha256(dictionary).hexdigest()
-    files, base = _files(folder)
+    files, base = C.files(folder)
     files.create_dir(base, recursive=True)
     with files.open_output_stream(f"{base}/dictionary.zdict") as f:
         f.write(dictionary)
@@ -175,7 +169,7 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int
     def shard(batches):
         from pyspark import TaskContext
 
-        files, base = _files(folder)
+        files, base = C.files(folder)
         encode, pack, width = encoder(tokenizer_path, end_id, dtype), _codec(dictionary, level), np.dtype(dtype).itemsize
         part, out, index, at, tokens = TaskContext.get().partitionId(), None, [], len(MAGIC), 0
         for batch in batches:
@@ -235,7 +229,7 @@ def read_tokens(spark: SparkSession, folder: str, with_ids: bool = True, chunk:
                       + [("ids", pa.list_(pa.int32()))] * with_ids)
 
     def documents(batches):
-        files, base = _files(folder)
+        files, base = C.files(folder)
         with files.open_input_stream(f"{base}/dictionary.zdict") as f:
             dictionary = f.read()
         unpack = _codec(dictionary)
@@ -270,7 +264,7 @@ def read_tokens(spark: SparkSession, folder: str, with_ids: bool = True, chunk:
 
 def read_document(spark: SparkSession, folder: str, doc_id: int) -> list[np.ndarray]:
     """Ids of the documents with this id, by the index alone: only their frames are read."""
-    files, base = _files(folder)
+    files, base = C.files(folder)
     with files.open_input_stream(f"{base}/dictionary.zdict") as f:
         dictionary = f.read()
     found = []
