@@ -6,7 +6,7 @@ import xxhash
 from tarmac.llm.common import worker_cache
 
 LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
-CACHE_WORDS = 200_000
+CACHE_WORDS = 100_000
 
 
 def word_hashes(words: list[bytes]) -> np.ndarray:

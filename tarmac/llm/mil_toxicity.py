@@ -32,7 +32,7 @@ from tarmac.llm import common as C
 SENTENCE = re.compile(r"[^.!?\n]+")
 LETTERS = re.compile(r"[^\W\d_]+")
 PREFIXES = (3, 4, 5, 6)
-CACHE_WORDS = 200_000
+CACHE_WORDS = 100_000
 RESULT = "struct<score:double,offending:array<struct<start:int,length:int,score:double>>>"
 
 
@@ -48,7 +48,7 @@ class Model:
 
     def scorer(self):
         """text -> (score, offending sentences)."""
-        cache: dict[str, float] = {}
+        cache: dict[str, float] = C.worker_cache(("toxicity", self.bias, len(self.weights)), dict)
 
         def weight(word: str) -> float:
             w = cache.get(word)

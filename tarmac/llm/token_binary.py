@@ -42,7 +42,7 @@ from tarmac.llm import common as C
 MAGIC = b"TKZSHRD1"
 INDEX = [("doc_id", "<i8"), ("has_id", "u1"), ("offset", "<u8"), ("length", "<u8"), ("n_tokens", "<u8")]
 MANIFEST = "shard int, file string, n_docs long, n_tokens long, min_id long, max_id long, bytes long"
-CACHE_WORDS, HOT_WORDS, FIRST_WORDS = 800_000, 16_384, 400_000
+CACHE_WORDS, HOT_WORDS, FIRST_WORDS = 600_000, 16_384, 400_000
 MARKS = ".,;:!?&$%#@*+=~^/-"  # ASCII marks that begin no special token and no contraction
 
 
