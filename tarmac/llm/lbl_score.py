@@ -30,7 +30,7 @@ from tarmac.llm import common as C
 
 LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 END = b""  # no word is empty
-HEAD, FLUSH = 100_000, 200_000
+HEAD, FLUSH = 200_000, 200_000
 WARM_DOCS, WARM_CHARS, TRAIN_TASKS = 1_000, 20_000, 4_096
 NEW = ["n_tokens", "n_known", "train_tokens", "base_score", "score"]
 
@@ -65,8 +65,9 @@ class Network:
         self.noise, self.dim = noise, dim
         self.p = {"R": rng.normal(0, 0.1, (k, dim)), "Q": rng.normal(0, 0.1, (k, dim)), "b": np.log(noise),
                   "C1": np.eye(dim), "C2": np.eye(dim) * 0.5}
+        self.p = {n: x.astype(np.float32) for n, x in self.p.items()}
         self.g2 = {n: np.full_like(x, 1e-4) for n, x in self.p.items()}
-        self.cdf, self.log_noise = np.cumsum(noise) / noise.sum(), np.log(noise)
+        self.cdf, self.log_noise = np.cumsum(noise) / noise.sum(), np.log(noise).astype(np.float32)
 
     def step(self, w2, w1, target, rng, lr=0.1, n_noise=48):
         """One AdaGrad step on a batch of (context, target)."""
@@ -74,18 +75,18 @@ class Network:
         noise = np.minimum(np.searchsorted(self.cdf, rng.random(n_noise)), k - 1)
         r1, r2 = p["R"][w1], p["R"][w2]
         h, qt, qn = r1 @ p["C1"] + r2 @ p["C2"], p["Q"][target], p["Q"][noise]
-        shift = self.log_noise + math.log(n_noise)
+        shift = self.log_noise + np.float32(math.log(n_noise))
         e_t = 1 - _sigmoid(np.einsum("ij,ij->i", h, qt) + p["b"][target] - shift[target])
         e_n = -_sigmoid(h @ qn.T + (p["b"] - shift)[noise])
         gh = e_t[:, None] * qt + e_n @ qn
         spread = lambda i, x: np.bincount((i[:, None] * d + np.arange(d)).ravel(), x.ravel(), k * d).reshape(k, d)
-        g = {"Q": spread(target, e_t[:, None] * h) + spread(noise, e_n.T @ h),
-             "b": np.bincount(target, e_t, k) + np.bincount(noise, e_n.sum(0), k),
-             "R": spread(w1, gh @ p["C1"].T) + spread(w2, gh @ p["C2"].T), "C1": r1.T @ gh, "C2": r2.T @ gh}
+        g = {"Q": spread(np.concatenate([target, noise]), np.concatenate([e_t[:, None] * h, e_n.T @ h])),
+             "b": np.bincount(np.concatenate([target, noise]), np.concatenate([e_t, e_n.sum(0)]), k),
+             "R": spread(np.concatenate([w1, w2]), np.concatenate([gh @ p["C1"].T, gh @ p["C2"].T])), "C1": r1.T @ gh, "C2": r2.T @ gh}
         for n, x in g.items():
-            x /= len(target)
+            x = (x / len(target)).astype(np.float32)
             self.g2[n] += x * x
-            p[n] += lr * x / np.sqrt(self.g2[n])
+            p[n] += np.float32(lr) * x / np.sqrt(self.g2[n])
 
     def train(self, documents, rng, batch=2048, chunk=1 << 16) -> int:
         """One pass over arrays of classes, each a document with its end; returns the tokens seen."""
@@ -117,13 +118,13 @@ class Network:
         i = 0
         for n in sorted(self.p):
             x = self.p[n]
-            self.p[n] = flat[i:i + x.size].astype(float).reshape(x.shape)
+            self.p[n] = flat[i:i + x.size].astype(np.float32).reshape(x.shape)
             i += x.size
         return self
 
 
 def _sigmoid(x):
-    return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
+    return np.float32(1) / (np.float32(1) + np.exp(np.clip(-x, -30, 30)))
 
 
 class Vocabulary:
@@ -197,7 +198,7 @@ class Scorer:
     """Exact log10 probabilities of texts, up to what tokens outside the head add."""
 
     def __init__(self, vocabulary: Vocabulary, noise: np.ndarray, dim: int, flat: np.ndarray):
-        p = Network(noise, dim).load(flat).p
+        p = {n: x.astype(float) for n, x in Network(noise, dim).load(flat).p.items()}
         self.rank, k, self.trained = vocabulary.rank, len(noise), vocabulary.total > 0
         self.base = np.log10(vocabulary.base(vocabulary.counts))
         self.classes, self.rest = k, math.log10(noise[0])
