@@ -179,6 +179,25 @@ def test_language_of_held_out_documents(spark):
     assert model.predict("the") [0] == "en" and model.places("ththth")
 
 
+def test_language_words_outside_the_head_are_known(spark):
+    """A small head in the tasks gives what the whole table gives: learnt words are never scored as unseen."""
+    texts = [("haus baum wald feld " * 5 + "zug", "de"), ("house tree wood field " * 5 + "zug train", "en"), ("casa arbol bosque campo", "es"), ("zug zug baum", "de")]
+    train = spark.createDataFrame(texts, "text string, lang string")
+    d = spark.createDataFrame([(t,) for t, _ in texts] + [("train wood zzz",), ("zug zzz qqq",), (None,), ("",)], "text string").repartition(2)
+    got = {}
+    for most in (150_000, 3, 0):
+        model = lang_backoff.fit(train, max_words=most)
+        got[most] = {r.text: (r.lang_pred, round(r.score, 9)) for r in lang_backoff.predict(d, model).collect()}
+    assert len(got[0]) == 8 and got[3] == got[150_000] == got[0]
+    total, n = Counter(), Counter()
+    for t, lang in texts:
+        total[lang] += len(t.split())
+        n.update((lang, w) for w in t.split())
+    logs = [sum(math.log((n[lang, w] + 0.5) / (total[lang] + 1)) for w in texts[1][0].split()) for lang in ("de", "en", "es")]
+    want = 1 / sum(math.exp(x - max(logs)) for x in logs)
+    assert got[0][texts[1][0]] == ("en", round(want, 9)) and got[0][None] == ("und", 0)
+
+
 # 9
 def test_curriculum_order_and_shares(spark):
     d = spark.read.parquet(f"{SF}/documents.parquet").withColumn("size", F.lit("replaced")).withColumn("other", F.lit(1))
