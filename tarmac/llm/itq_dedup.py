@@ -4,8 +4,9 @@
    and the orthogonal Procrustes fit, from random starts) on the up to ``BITS`` principal axes of unit vectors
    less their mean, from a sample of at most ``SAMPLE`` classes chosen by hash. The signs after all
    rotations, as many as give ``CODE_BITS``, are a vector's code.
-2. Codes are cut into substrings of ``SUBSTRING`` bits, one Hamming table each. Classes that share a
-   substring are retrieved together and compared by the Hamming distance of the first ``COMPARED`` bits of
+2. Codes are cut into substrings of ``SUBSTRING`` bits, one Hamming table each. A class is entered under its own
+   substring and under all that differ in one bit, so classes with a substring at most two bits apart meet: all
+   pairs up to 47 of 256 bits apart, and most beyond. Those that meet are compared by the Hamming distance of the first ``COMPARED`` bits of
    their codes; those within ``RADIUS`` are candidates. A bucket returns links that join its
    candidates into groups, not their pairs; groups over all tables are connected components.
 3. Groups are reranked with the original vectors: all cosines inside a group, in double precision. Each
@@ -29,6 +30,7 @@ from tarmac.llm import common as C
 
 SAMPLE, CODE_BITS, ITERATIONS, BITS = 20_000, 256, 40, 64
 SUBSTRING, COMPARED, RADIUS, BLOCK = 16, 128, 38, 4_096
+SMALL = 32  # rows of a bucket that are compared together with other buckets' rows
 NEW = ["n_links", "component_id", "kept"]
 
 
@@ -106,6 +108,22 @@ def _groups(batches, key: str, columns: list[str]):
         yield group[1], group[2], rows
 
 
+def _buckets(batches):
+    """(keys, cid, codes) of a sorted stream of (bucket, i, j, cid, c0, c1), cut between buckets."""
+    held = None
+    for b in batches:
+        rows = np.stack([np.array(b.column(c)).astype(np.int64) for c in ["bucket", "i", "j", "cid", "c0", "c1"]], 1)
+        held = rows if held is None else np.concatenate([held, rows])
+        if len(held):
+            last = (held[:, :3] != held[-1, :3]).any(1)
+            cut = np.flatnonzero(last)[-1] + 1 if last.any() else 0
+            if cut:
+                yield held[:cut, :3], held[:cut, 3], held[:cut, 4:].copy().view(np.uint64)
+                held = held[cut:]
+    if held is not None and len(held):
+        yield held[:, :3], held[:, 3], held[:, 4:].copy().view(np.uint64)
+
+
 def candidate_groups(classes: DataFrame, block: int = BLOCK) -> DataFrame:
     """(cid, cluster): groups of classes that the Hamming tables bring together; ``classes`` has cid, x."""
     spark = classes.sparkSession
@@ -123,28 +141,40 @@ def candidate_groups(classes: DataFrame, block: int = BLOCK) -> DataFrame:
             if b.num_rows:
                 code = encode(unit(b.column(1).to_pylist()), *held.value)
                 keys = [packed(code[:, i:i + width]) for i in range(0, code.shape[1] - width + 1, width)]
+                flips = np.uint64(1) << np.arange(width, dtype=np.uint64)
+                keys = [(t << width) + k.astype(np.int64) for t, s in enumerate(keys) for k in [s, *(s ^ f for f in flips)]]
                 codes = np.stack([packed(code[:, i:i + 64]) for i in range(0, COMPARED, 64)], 1)
-                bucket = np.concatenate([k.astype(np.int64) + (t << width) for t, k in enumerate(keys)])
+                bucket = np.concatenate(keys)
                 again = lambda x: np.tile(x, len(keys))
                 yield pa.RecordBatch.from_arrays([pa.array(bucket), pa.array(again(np.array(b.column(0)))), pa.array(again(codes[:, 0].view(np.int64))),
                                                   pa.array(again(codes[:, 1].view(np.int64)))], ["bucket", "cid", "c0", "c1"])
 
     def retrieve(it):
-        for i, j, rows in _groups(it, "bucket", ["cid", "c0", "c1"]):
-            cid = np.array([r[0] for r in rows])
-            if len(cid) < 2:
-                continue
-            code = np.array([r[1:] for r in rows], np.int64).view(np.uint64)
-
-            def near(a, b):
-                differ = np.bitwise_count(code[a][:, None, 0] ^ code[b][None, :, 0]).astype(np.int16)
-                differ += np.bitwise_count(code[a][:, None, 1] ^ code[b][None, :, 1])
-                return (differ <= RADIUS).any(0)
-
-            root = grouped(len(cid), near)
-            at = np.flatnonzero(root != np.arange(len(cid)))
-            if len(at):
-                yield pa.RecordBatch.from_arrays([pa.array(cid[at]), pa.array(cid[root[at]])], ["src", "dst"])
+        for key, cid, code in _buckets(it):
+            start = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]).any(1)])
+            size = np.diff(np.r_[start, len(key)])
+            group = np.repeat(np.arange(len(start)), size)
+            hit = (size > SMALL)[group]  # rows that may link: all of a large bucket, those with a candidate of a small one
+            for o in range(1, min(SMALL, size.max())):
+                a = np.flatnonzero((group[o:] == group[:-o]) & (size <= SMALL)[group[o:]])
+                a = a[np.bitwise_count(code[a] ^ code[a + o]).sum(1, dtype=np.int16) <= RADIUS]
+                hit[a] = hit[a + o] = True
+            at = np.flatnonzero(hit)
+            src, dst = [], []
+            for rows in np.split(at, np.flatnonzero(np.diff(group[at])) + 1):
+                if len(rows) == 2 and size[group[rows[0]]] <= SMALL:
+                    root = np.zeros(2, int)
+                elif len(rows):
+                    c = code[rows]
+                    root = grouped(len(rows), lambda a, b: (np.bitwise_count(c[a][:, None] ^ c[b][None]).sum(2, dtype=np.int16) <= RADIUS).any(0))
+                else:
+                    continue
+                moved = np.flatnonzero(root != np.arange(len(rows)))
+                src.append(cid[rows[moved]])
+                dst.append(cid[rows[root[moved]]])
+            if src:
+                pairs = np.unique(np.stack([np.concatenate(src), np.concatenate(dst)], 1), axis=0)
+                yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["src", "dst"])
 
     rows = classes.select("cid", "x").mapInArrow(tables, "bucket long, cid long, c0 long, c1 long")
     edges = _blocked(rows, "bucket", block).mapInArrow(retrieve, "src long, dst long")

@@ -45,6 +45,26 @@ def test_itq_recall(spark, dim, noise, block):
     assert rows[0].asDict().keys() == {"vec_id", "embedding", "n_links", "component_id", "kept"} and isinstance(rows[0].kept, bool)
 
 
+@pytest.mark.parametrize("dim", [64, 128])
+def test_itq_recall_at_the_threshold_with_a_common_mean(spark, dim):
+    """Pairs at cosine 0.90-0.92 among vectors that share a mean (median cosine 0.5)."""
+    rng = np.random.default_rng(3)
+    mean = rng.normal(size=dim)
+    mean /= np.sqrt(mean @ mean)
+    a = itq_dedup.unit(rng.normal(size=(4000, dim)))
+    a = itq_dedup.unit(a + mean)
+    other = rng.normal(size=a.shape)
+    other = itq_dedup.unit(other - (other * a).sum(1, keepdims=True) * a)
+    c = rng.uniform(0.901, 0.92, (len(a), 1))
+    x = np.concatenate([a, c * a + np.sqrt(1 - c * c) * other])
+    assert 0.4 < np.median(a[:500] @ a[500:1000].T) < 0.6
+    d = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>").repartition(4)
+    found = np.array([r.n_links for r in itq_dedup.near_duplicates(d).orderBy("vec_id").collect()])
+    links = (x @ x.T >= 0.9).sum(1) - 1
+    print("recall", found.sum() / links.sum())
+    assert links.sum() >= 8000 and (found <= links).all() and found.sum() >= 0.97 * links.sum()
+
+
 # 2
 def test_winnowing_keeps_columns_and_reports_spans(spark, scratch):
     tables(scratch)
