@@ -93,8 +93,7 @@ _OVERSAMPLED: dict = {}
 def oversampled_train(spark, sf_dir, seed: int = 42) -> DataFrame:
     """Training side of the split grown with SMOTE (M6) on the 19 model
     features, as the classifiers are trained; materialised once per session
-    and input. Neighbours are searched in up to 2 x 64 + 1 blocks of 512
-    points, which is exact up to that many and bounds the work a point."""
+    and input. Every neighbour is exact, whatever the number of points."""
     from tarmac.ml.smote import smote
     from tarmac.schemas import FEATURE_COLUMNS
 
@@ -102,5 +101,5 @@ def oversampled_train(spark, sf_dir, seed: int = 42) -> DataFrame:
     if key not in _OVERSAMPLED:
         split, _ = model_table(spark, sf_dir, seed)
         train = split.filter(~F.col("is_test"))
-        _OVERSAMPLED[key] = T.materialize(smote(train, "status", FEATURE_COLUMNS, "row_key", seed=seed, max_width=64))
+        _OVERSAMPLED[key] = T.materialize(smote(train, "status", FEATURE_COLUMNS, "row_key", seed=seed))
     return _OVERSAMPLED[key]
