@@ -10,6 +10,7 @@ from tarmac.llm import (
     jaccard_join,
     lang_backoff,
     lbl_score,
+    line_frequency,
     mil_toxicity,
     token_binary,
     winnowing,
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_lang_backoff": lang_backoff.op8_query,
     "op9_curriculum_mix": curriculum.op9_query,
     "op10_mil_toxicity": mil_toxicity.op10_query,
+    "op12_line_frequency": line_frequency.op12_query,
 }
 ORACLE = {
     "op1_itq_dedup": itq_dedup.OP1_SQL,
@@ -34,4 +36,5 @@ ORACLE = {
     "op4_jaccard_join": jaccard_join.OP4_SQL,
     "op7_chat_events": chat_events.OP7_SQL,
     "op9_curriculum_mix": curriculum.OP9_SQL,
+    "op12_line_frequency": line_frequency.OP12_SQL,
 }
