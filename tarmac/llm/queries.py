@@ -6,6 +6,7 @@ from tarmac.llm import (
     chat_events,
     curriculum,
     fm_dedup,
+    fp_tree,
     itq_dedup,
     jaccard_join,
     lang_backoff,
@@ -27,6 +28,7 @@ QUERIES = {
     "op8_lang_backoff": lang_backoff.op8_query,
     "op9_curriculum_mix": curriculum.op9_query,
     "op10_mil_toxicity": mil_toxicity.op10_query,
+    "op11_fp_tree_search": fp_tree.op11_query,
     "op12_line_frequency": line_frequency.op12_query,
 }
 ORACLE = {
@@ -36,5 +38,6 @@ ORACLE = {
     "op4_jaccard_join": jaccard_join.OP4_SQL,
     "op7_chat_events": chat_events.OP7_SQL,
     "op9_curriculum_mix": curriculum.OP9_SQL,
+    "op11_fp_tree_search": fp_tree.OP11_SQL,
     "op12_line_frequency": line_frequency.OP12_SQL,
 }
