@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from tarmac.llm import (
     chat_events,
+    collocations,
     curriculum,
     fm_dedup,
     fp_tree,
@@ -30,6 +31,7 @@ QUERIES = {
     "op10_mil_toxicity": mil_toxicity.op10_query,
     "op11_fp_tree_search": fp_tree.op11_query,
     "op12_line_frequency": line_frequency.op12_query,
+    "op13_collocations": collocations.op13_query,
 }
 ORACLE = {
     "op1_itq_dedup": itq_dedup.OP1_SQL,
@@ -40,4 +42,5 @@ ORACLE = {
     "op9_curriculum_mix": curriculum.OP9_SQL,
     "op11_fp_tree_search": fp_tree.OP11_SQL,
     "op12_line_frequency": line_frequency.OP12_SQL,
+    "op13_collocations": collocations.OP13_SQL,
 }
