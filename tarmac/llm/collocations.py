@@ -35,7 +35,7 @@ from tarmac.llm import common as C
 from tarmac.llm.phrase_index import PIECE, RARE, PhraseIndex
 
 MIN_COUNT, TOP, ABSORBED = 10, 2_000, 50
-SHARD_WORDS, FILTER_BITS, ROWS, SHARE_ROWS = 1_000_000, 26, 100_000, 200_000
+SHARD_WORDS, FILTER_BITS, ROWS, SHARE_ROWS = 500_000, 26, 50_000, 200_000
 #: A-Z in lower case, ends of pieces (.,;:!? and the bytes 10 to 13) as line feeds, tabs as blanks.
 TEXT = bytes(10 if b in b".,;:!?" or 10 <= b <= 13 else 32 if b == 9 else b + 32 if 65 <= b < 91 else b for b in range(256))
 
@@ -106,9 +106,10 @@ def _words(row) -> tuple[pa.Array, np.ndarray, list[bytes]]:
 
 
 def _rows(it, *names):
+    """Shards one by one: a batch may hold many."""
     for b in it:
-        for row in zip(*(b.column(n).to_pylist() for n in names)):
-            yield dict(zip(names, row))
+        for i in range(b.num_rows):
+            yield {n: b.column(n)[i].as_py() for n in names}
 
 
 def word_counts(shards: DataFrame) -> DataFrame:
