@@ -36,6 +36,7 @@ from tarmac.llm.phrase_index import PIECE, RARE, PhraseIndex
 
 MIN_COUNT, TOP, ABSORBED = 10, 2_000, 50
 SHARD_WORDS, FILTER_BITS, ROWS, SHARE_ROWS = 500_000, 26, 50_000, 200_000
+PAIR = 7919  # factor of the first word's checksum in a pair's
 #: A-Z in lower case, ends of pieces (.,;:!? and the bytes 10 to 13) as line feeds, tabs as blanks.
 TEXT = bytes(10 if b in b".,;:!?" or 10 <= b <= 13 else 32 if b == 9 else b + 32 if 65 <= b < 91 else b for b in range(256))
 
@@ -127,10 +128,16 @@ def word_counts(shards: DataFrame) -> DataFrame:
     return C.written(rows.groupBy("lang", "word").agg(F.sum("n").alias("n")), "word_counts")
 
 
-def bitmap(df: DataFrame, phrase: Column, bits: int = FILTER_BITS) -> bytes:
-    """A bit for the checksum of each (lang, phrase): at most 2^(bits - 3) bytes, for the driver to broadcast."""
+def checksum(lang: Column, *words: Column) -> Column:
+    """The place of a word, or of two in a row, in a bitmap, before it is cut to its size."""
+    one, *two = [F.crc32(F.concat_ws("\n", lang, w).cast("binary")) for w in words]
+    return one * PAIR + two[0] if two else one
+
+
+def bitmap(df: DataFrame, place: Column, bits: int = FILTER_BITS) -> bytes:
+    """A bit for the checksum of each row: at most 2^(bits - 3) bytes, for the driver to broadcast."""
     bucket = 1 << min(15, bits)
-    at = F.crc32(F.concat_ws("\n", F.col("lang"), phrase).cast("binary")) % (1 << bits) + 1
+    at = place % (1 << bits) + 1
     rows = df.groupBy(F.bitmap_bucket_number(at).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("bits")).collect()
     out = np.zeros(1 << max(0, bits - 3), np.uint8)
     for r in rows:
@@ -139,8 +146,8 @@ def bitmap(df: DataFrame, phrase: Column, bits: int = FILTER_BITS) -> bytes:
     return out.tobytes()
 
 
-def in_bitmap(held: np.ndarray, keys) -> np.ndarray:
-    at = np.fromiter(map(zlib.crc32, keys), np.int64) % (8 * len(held))
+def in_bitmap(held: np.ndarray, place: np.ndarray) -> np.ndarray:
+    at = place % (8 * len(held))
     return (held[at >> 3] >> (at & 7)) & 1 == 1
 
 
@@ -153,16 +160,17 @@ def _phrases(langs, lang, words: pa.Array, parts: list[np.ndarray], *numbers):
 
 
 def _index(row, frequent: np.ndarray):
-    """(languages, language of each symbol, symbols' words, index) of a shard whose rare words end phrases."""
+    """(languages, language and checksum of each symbol, symbols' words, index) of a shard; rare words end phrases."""
     langs, lang, words = _words(row)
     prefix = [x.encode() + b"\n" for x in langs.to_pylist()]
-    known = in_bitmap(frequent, (prefix[k] + w for k, w in zip(lang.tolist(), words)))
+    place = np.fromiter((zlib.crc32(prefix[k] + w) for k, w in zip(lang.tolist(), words)), np.int64)
+    known = in_bitmap(frequent, place)
     known[0] = False
     symbol = np.where(known, np.cumsum(known) + RARE, RARE)
     symbol[0] = PIECE
     at = np.flatnonzero(known)
-    lang, words = np.concatenate([[0, 0], lang[at]]), ["", "", *(words[i].decode() for i in at)]
-    return langs, lang, words, PhraseIndex(symbol[_unpack(row["ids"], np.int32)])
+    lang, place, words = np.concatenate([[0, 0], lang[at]]), np.concatenate([[0, 0], place[at]]), ["", "", *(words[i].decode() for i in at)]
+    return langs, lang, place, pa.array(words, pa.string()), PhraseIndex(symbol[_unpack(row["ids"], np.int32)])
 
 
 SUMMED = "lang string, phrase string, n long, n_left long, n_right long"
@@ -179,8 +187,8 @@ def pair_counts(shards: DataFrame, frequent: bytes, min_count: int = MIN_COUNT)
 
     def send(it):
         for row in _rows(it, "langs", "lang", "words", "ids"):
-            langs, lang, words, x = _index(row, np.frombuffer(held.value, np.uint8))
-            yield from _phrases(langs, lang, pa.array(words, pa.string()), [x.one, x.second], x.count, *x.open_ends(x.forward, x.backward, x.count))
+            langs, lang, _, words, x = _index(row, np.frombuffer(held.value, np.uint8))
+            yield from _phrases(langs, lang, words, [x.one, x.second], x.count, *x.open_ends(x.forward, x.backward, x.count))
 
     return _summed(shards.select("langs", "lang", "words", "ids").mapInArrow(send, SUMMED), min_count, "pairs")
 
@@ -192,9 +200,8 @@ def triple_counts(shards: DataFrame, frequent: bytes, pairs: bytes, min_count: i
     def send(it):
         for row in _rows(it, "langs", "lang", "words", "ids"):
             words_map, pairs_map = (np.frombuffer(x, np.uint8) for x in held.value)
-            langs, lang, words, x = _index(row, words_map)
-            prefix = [y + "\n" for y in langs.to_pylist()]
-            use = in_bitmap(pairs_map, (f"{prefix[lang[a]]}{words[a]} {words[b]}".encode() for a, b in zip(x.one.tolist(), x.second.tolist())))
+            langs, lang, place, words, x = _index(row, words_map)
+            use = in_bitmap(pairs_map, place[x.one] * PAIR + place[x.second])
             before, pair, forward, backward, n = x.triples(use)
             width = len(words)
             key = x.one * width + x.second  # rising, as pairs come by word and extension
@@ -202,11 +209,15 @@ def triple_counts(shards: DataFrame, frequent: bytes, pairs: bytes, min_count: i
             at = np.minimum(np.searchsorted(key, new), max(0, len(key) - 1))
             good = np.flatnonzero((key[at] == new) & use[at]) if len(key) else np.zeros(0, np.int64)
             n_left, n_right = x.open_ends(forward[good], backward[good], n[good])
-            yield from _phrases(langs, lang, pa.array(words, pa.string()), [before[good], x.one[pair[good]], x.second[pair[good]]], n[good], n_left, n_right)
+            yield from _phrases(langs, lang, words, [before[good], x.one[pair[good]], x.second[pair[good]]], n[good], n_left, n_right)
 
     return _summed(shards.select("langs", "lang", "words", "ids").mapInArrow(send, SUMMED), min_count, "triples")
 
 
+def _part(i: int) -> Column:
+    return F.substring_index(F.substring_index("phrase", " ", i), " ", -1)
+
+
 def _score(a: str, left: str, right: str) -> Column:
     d = lambda c: f"CAST({c} AS DECIMAL(16, 0))"
     return F.expr(f"(CAST(1000000 AS DECIMAL(7, 0)) * {d(a)} * {d(a)}) DIV ({d(left)} * {d(right)})")
@@ -214,10 +225,9 @@ def _score(a: str, left: str, right: str) -> Column:
 
 def scored(words: DataFrame, pairs: DataFrame, triples: DataFrame, absorbed: int = ABSORBED) -> DataFrame:
     """(lang, phrase, a, l, r, score, n_left, n_right) of candidates that no longer one absorbs."""
-    part = lambda i: F.substring_index(F.substring_index("phrase", " ", i), " ", -1)
     count = lambda df, col, key, n: df.select("lang", F.col(col).alias(key), F.col("n").alias(n))
-    two = pairs.select("lang", "phrase", F.col("n").alias("a"), "n_left", "n_right", part(1).alias("w1"), part(2).alias("w2"))
-    three = triples.select("lang", "phrase", F.col("n").alias("a"), "n_left", "n_right", part(1).alias("w1"), part(2).alias("w2"), part(3).alias("w3"))
+    two = pairs.select("lang", "phrase", F.col("n").alias("a"), "n_left", "n_right", _part(1).alias("w1"), _part(2).alias("w2"))
+    three = triples.select("lang", "phrase", F.col("n").alias("a"), "n_left", "n_right", _part(1).alias("w1"), _part(2).alias("w2"), _part(3).alias("w3"))
     three = three.withColumn("head", F.concat_ws(" ", "w1", "w2")).withColumn("tail", F.concat_ws(" ", "w2", "w3"))
     longer = three.select("lang", F.explode(F.array("head", "tail")).alias("phrase"), "a").groupBy("lang", "phrase").agg(F.max("a").alias("longer"))
     two = (two.join(longer, ["lang", "phrase"], "left").where(F.coalesce(100 * F.col("longer") < absorbed * F.col("a"), F.lit(True)))
@@ -253,9 +263,10 @@ def collocations(docs: DataFrame, min_count: int = MIN_COUNT, top: int = TOP, ab
     counts = word_counts(shards)
     total = counts.groupBy("lang").agg(F.sum("n").alias("n"))
     words = counts.where(F.col("n") >= min_count)
-    frequent = bitmap(words, F.col("word"), filter_bits)
+    frequent = bitmap(words, checksum(F.col("lang"), F.col("word")), filter_bits)
     pairs = pair_counts(shards, frequent, min_count)
-    triples = triple_counts(shards, frequent, bitmap(pairs, F.col("phrase"), filter_bits), min_count)
+    place = checksum(F.col("lang"), _part(1), _part(2))
+    triples = triple_counts(shards, frequent, bitmap(pairs, place, filter_bits), min_count)
     best = first_of_each(C.written(scored(words, pairs, triples, absorbed), "scored"), top)
     return best.join(total, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score", "n_left", "n_right")
 

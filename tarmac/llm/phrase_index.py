@@ -17,11 +17,10 @@ def transform(text: np.ndarray) -> np.ndarray:
     """The symbol before each place of the cyclic ``text``, places in the order of their next three symbols."""
     size = int(text.max(initial=0)) + 1
     if size < 1 << 21:
-        key = (text * size + np.roll(text, -1)) * size + np.roll(text, -2)
-        order = np.argsort(key, kind="stable")
+        order = np.argsort((text * size + np.roll(text, -1)) * size + np.roll(text, -2))
     else:
         order = np.lexsort((np.roll(text, -2), np.roll(text, -1), text))
-    return text[order - 1]
+    return text[order - 1].astype(np.int32)
 
 
 class Extensions:
@@ -55,7 +54,7 @@ class Extensions:
             zero, one = np.flatnonzero(hi - one_hi > lo - one_lo), np.flatnonzero(one_hi > one_lo)
             lo, hi = (np.concatenate([(x - y)[zero], bits.zeros + y[one]]) for x, y in ((lo, one_lo), (hi, one_hi)))
             which, symbol = np.concatenate([which[zero], which[one]]), np.concatenate([symbol[zero] * 2, symbol[one] * 2 + 1])
-        order = np.argsort(which << len(self.levels) | symbol, kind="stable")
+        order = np.argsort(which << len(self.levels) | symbol)
         return which[order], symbol[order], lo[order], (hi - lo)[order]
 
 
