@@ -5,10 +5,11 @@
    and their counts, which are summed to the word counts of each language.
 2. Words counted ``min_count`` times or more go into a bitmap of 2^``FILTER_BITS`` bits (8 MB at any size of
    the corpus; a rare word that falls on a set bit is only kept longer). A shard turns other words to one symbol
-   that ends phrases, and builds a bidirectional FM-index. Every word's interval is extended to the right: pairs
-   with their counts, and how often a word stands before and after them. Pairs are summed over the shards.
-3. The pairs that are frequent over all shards make the second bitmap. Each shard extends its pairs that are in it
-   to the left where the new pair is too. Triples are summed; phrases below ``min_count`` go.
+   that ends phrases. In the FM-index of its reverse every word's interval is extended to the right: pairs with
+   their counts, and how often a word stands before and after them. Pairs are summed over the shards.
+3. The pairs that are frequent over all shards make the second bitmap. In the FM-index of its text each shard
+   extends its pairs that are in it to the left where the new pair is too. Triples are summed; phrases below
+   ``min_count`` go.
 4. Phrases meet the counts of their parts by joins; scores are exact (decimals of 38 digits). A pair inside a
    triple with at least ``ABSORBED`` percent of its count goes. Each language's first ``top`` are found in rounds
    of windows over bounded shares of its phrases.
@@ -32,7 +33,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tarmac.llm import common as C
-from tarmac.llm.phrase_index import PIECE, RARE, PhraseIndex
+from tarmac.llm.phrase_index import PIECE, RARE, pairs as index_pairs, triples as index_triples
 
 MIN_COUNT, TOP, ABSORBED = 10, 2_000, 50
 SHARD_WORDS, FILTER_BITS, ROWS, SHARE_ROWS = 500_000, 26, 50_000, 200_000
@@ -159,8 +160,8 @@ def _phrases(langs, lang, words: pa.Array, parts: list[np.ndarray], *numbers):
         yield pa.RecordBatch.from_arrays([langs.take(pa.array(lang[parts[0][at]])), phrase, *(pa.array(x[at].astype(np.int64)) for x in numbers)], ["lang", "phrase", "n", "n_left", "n_right"])
 
 
-def _index(row, frequent: np.ndarray):
-    """(languages, language and checksum of each symbol, symbols' words, index) of a shard; rare words end phrases."""
+def _symbols(row, frequent: np.ndarray):
+    """(languages, language and checksum of each symbol, symbols' words, text) of a shard; rare words end phrases."""
     langs, lang, words = _words(row)
     prefix = [x.encode() + b"\n" for x in langs.to_pylist()]
     place = np.fromiter((zlib.crc32(prefix[k] + w) for k, w in zip(lang.tolist(), words)), np.int64)
@@ -170,7 +171,7 @@ def _index(row, frequent: np.ndarray):
     symbol[0] = PIECE
     at = np.flatnonzero(known)
     lang, place, words = np.concatenate([[0, 0], lang[at]]), np.concatenate([[0, 0], place[at]]), ["", "", *(words[i].decode() for i in at)]
-    return langs, lang, place, pa.array(words, pa.string()), PhraseIndex(symbol[_unpack(row["ids"], np.int32)])
+    return langs, lang, place, pa.array(words, pa.string()), symbol[_unpack(row["ids"], np.int32)]
 
 
 SUMMED = "lang string, phrase string, n long, n_left long, n_right long"
@@ -187,8 +188,9 @@ def pair_counts(shards: DataFrame, frequent: bytes, min_count: int = MIN_COUNT)
 
     def send(it):
         for row in _rows(it, "langs", "lang", "words", "ids"):
-            langs, lang, _, words, x = _index(row, np.frombuffer(held.value, np.uint8))
-            yield from _phrases(langs, lang, words, [x.one, x.second], x.count, *x.open_ends(x.forward, x.backward, x.count))
+            langs, lang, _, words, text = _symbols(row, np.frombuffer(held.value, np.uint8))
+            one, two, *numbers = index_pairs(text)
+            yield from _phrases(langs, lang, words, [one, two], *numbers)
 
     return _summed(shards.select("langs", "lang", "words", "ids").mapInArrow(send, SUMMED), min_count, "pairs")
 
@@ -200,16 +202,9 @@ def triple_counts(shards: DataFrame, frequent: bytes, pairs: bytes, min_count: i
     def send(it):
         for row in _rows(it, "langs", "lang", "words", "ids"):
             words_map, pairs_map = (np.frombuffer(x, np.uint8) for x in held.value)
-            langs, lang, place, words, x = _index(row, words_map)
-            use = in_bitmap(pairs_map, place[x.one] * PAIR + place[x.second])
-            before, pair, forward, backward, n = x.triples(use)
-            width = len(words)
-            key = x.one * width + x.second  # rising, as pairs come by word and extension
-            new = before * width + x.one[pair]
-            at = np.minimum(np.searchsorted(key, new), max(0, len(key) - 1))
-            good = np.flatnonzero((key[at] == new) & use[at]) if len(key) else np.zeros(0, np.int64)
-            n_left, n_right = x.open_ends(forward[good], backward[good], n[good])
-            yield from _phrases(langs, lang, words, [before[good], x.one[pair[good]], x.second[pair[good]]], n[good], n_left, n_right)
+            langs, lang, place, words, text = _symbols(row, words_map)
+            one, two, three, *numbers = index_triples(text, lambda a, b: in_bitmap(pairs_map, place[a] * PAIR + place[b]))
+            yield from _phrases(langs, lang, words, [one, two, three], *numbers)
 
     return _summed(shards.select("langs", "lang", "words", "ids").mapInArrow(send, SUMMED), min_count, "triples")
 

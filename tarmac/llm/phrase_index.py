@@ -1,9 +1,10 @@
 """A bidirectional FM-index of a word sequence for phrases of up to three words, in numpy.
 
 Places of the sequence are sorted by their next three symbols, forwards and backwards. That order is enough to
-extend a phrase of one or two symbols: the places of a phrase are an interval of either order, the symbols that
-the transform holds in the interval of one order are the extensions on one side, and their running counts move
-the interval of the other order along. Intervals of many phrases are extended at once."""
+extend a phrase of one or two symbols: the places of a phrase are an interval of either order, and the symbols
+that an order's transform holds in the interval are the phrase's extensions on one side: on the left in the order
+of the text, on the right in that of its reverse. Intervals of many phrases are extended at once. An order is
+built only where it is used."""
 
 import numpy as np
 
@@ -13,16 +14,6 @@ from tarmac.llm.fm_index import Bits
 PIECE, RARE = 0, 1
 
 
-def transform(text: np.ndarray) -> np.ndarray:
-    """The symbol before each place of the cyclic ``text``, places in the order of their next three symbols."""
-    size = int(text.max(initial=0)) + 1
-    if size < 1 << 21:
-        order = np.argsort((text * size + np.roll(text, -1)) * size + np.roll(text, -2))
-    else:
-        order = np.lexsort((np.roll(text, -2), np.roll(text, -1), text))
-    return text[order - 1].astype(np.int32)
-
-
 class Extensions:
     """A wavelet matrix of a transform: all symbols of many intervals, with their counts."""
 
@@ -58,39 +49,67 @@ class Extensions:
         return which[order], symbol[order], lo[order], (hi - lo)[order]
 
 
-def extended(side: Extensions, first: np.ndarray, origin: np.ndarray, lo: np.ndarray, other: np.ndarray, count: np.ndarray):
-    """Phrases (``count`` places from ``lo`` in the order of ``side``, from ``other`` in the other order) with each
-    symbol that occurs beside them: (phrase, symbol, lo, other, count), without phrase ends."""
-    which, symbol, place, n = side.of_intervals(lo, lo + count)
-    before = np.cumsum(n) - n
-    before -= np.repeat(before[np.flatnonzero(np.diff(which, prepend=-1))], np.bincount(which, minlength=len(lo))[np.unique(which)]) if len(n) else 0
-    word = symbol > RARE
-    which, symbol = which[word], symbol[word]
-    return which, symbol, first[symbol] + place[word] - origin[symbol], other[which] + before[word], n[word]
-
-
-class PhraseIndex:
-    """Of ``text``, symbols from 0 (``PIECE``, also its last), with the pairs of words that it holds: their words,
-    counts, and first places in the order of the text and of its reverse."""
+class Order:
+    """Of ``text``, symbols from 0; its ends are ``PIECE`` (the text is taken as a ring)."""
 
     def __init__(self, text: np.ndarray):
-        n = np.bincount(text)
-        self.depth = max(1, len(n) - 1).bit_length()
-        self.first = np.cumsum(n) - n
-        back, ahead = transform(text.astype(np.int64)), transform(text[::-1].astype(np.int64))
-        self.left, self.right = Extensions.of(back, self.depth), Extensions.of(ahead, self.depth)
-        self.left_ends, self.right_ends = Bits((back == PIECE).astype(np.uint8)), Bits((ahead == PIECE).astype(np.uint8))
-        words = np.flatnonzero(n[RARE + 1:]) + RARE + 1
-        which, self.second, self.backward, self.forward, self.count = extended(self.right, self.first, self.right.origins(), self.first[words], self.first[words], n[words])
-        self.one = words[which]
-
-    def triples(self, use: np.ndarray):
-        """(word before, pair, places in both orders, count) of the marked pairs, extended to the left."""
-        at = np.flatnonzero(use)
-        which, symbol, lo, other, n = extended(self.left, self.first, self.left.origins(), self.forward[at], self.backward[at], self.count[at])
-        return symbol, at[which], lo, other, n
-
-    def open_ends(self, forward: np.ndarray, backward: np.ndarray, n: np.ndarray):
-        """At how many places of phrases another word stands before, and after, in the piece."""
-        inside = lambda ends, lo: n - (ends.ones(lo + n) - ends.ones(lo))
-        return inside(self.left_ends, forward), inside(self.right_ends, backward)
+        text = text.astype(np.int64)
+        size = int(text.max(initial=0)) + 1
+        if size < 1 << 21:
+            self.places = np.argsort((text * size + np.roll(text, -1)) * size + np.roll(text, -2))
+        else:
+            self.places = np.lexsort((np.roll(text, -2), np.roll(text, -1), text))
+        self.text, self.counts = text.astype(np.int32), np.bincount(text)
+        self.first = np.cumsum(self.counts) - self.counts
+        self.extensions = Extensions.of(self.text[self.places - 1], max(1, size - 1).bit_length())
+
+    def words(self):
+        """(symbol, first place, count) of each word."""
+        at = np.flatnonzero(self.counts[RARE + 1:]) + RARE + 1
+        return at, self.first[at], self.counts[at]
+
+    def pairs(self):
+        """(symbol, next symbol, first place, count) of each two words in a row: runs of the order."""
+        one, two = self.text[self.places], self.text[(self.places + 1) % len(self.text)]
+        at = np.flatnonzero((np.diff(one, prepend=-1) != 0) | (np.diff(two, prepend=-1) != 0))
+        n = np.diff(np.append(at, len(one)))
+        word = (one[at] > RARE) & (two[at] > RARE)
+        at, n = at[word], n[word]
+        return one[at].astype(np.int64), two[at].astype(np.int64), at, n
+
+    def extended(self, lo: np.ndarray, count: np.ndarray):
+        """Phrases, intervals of ``count`` places from ``lo``, with each word that stands before them:
+        (phrase, word, first place, count), by phrase and word."""
+        which, symbol, place, n = self.extensions.of_intervals(lo, lo + count)
+        word = symbol > RARE
+        which, symbol = which[word], symbol[word]
+        return which, symbol, self.first[symbol] + place[word] - self.extensions.origins()[symbol], n[word]
+
+    def inside(self, lo: np.ndarray, count: np.ndarray, offset: int) -> np.ndarray:
+        """At how many places of the intervals the symbol ``offset`` places on is no end of a piece."""
+        ends = Bits((self.text[(self.places + offset) % len(self.text)] == PIECE).astype(np.uint8))
+        return count - (ends.ones(lo + count) - ends.ones(lo))
+
+
+def pairs(text: np.ndarray):
+    """(word, next word, count, n_left, n_right) of two words in a row: words extended to the right."""
+    x = Order(text[::-1])
+    words, lo, count = x.words()
+    which, second, lo, n = x.extended(lo, count)
+    return words[which], second, n, x.inside(lo, n, 2), x.inside(lo, n, -1)
+
+
+def triples(text: np.ndarray, use):
+    """(word, next, next, count, n_left, n_right) of three words in a row, both pairs of which ``use`` (of two
+    arrays of symbols) tells to use: pairs extended to the left."""
+    x = Order(text)
+    one, two, lo, count = x.pairs()
+    good = use(one, two)
+    one, two, lo, count = one[good], two[good], lo[good], count[good]
+    which, before, lo, n = x.extended(lo, count)
+    width = len(x.counts)
+    known, new = one * width + two, before * width + one[which]  # ``known`` rises
+    at = np.minimum(np.searchsorted(known, new), max(0, len(known) - 1))
+    good = known[at] == new if len(known) else np.zeros(0, bool)
+    which, before, lo, n = which[good], before[good], lo[good], n[good]
+    return before, one[which], two[which], n, x.inside(lo, n, -1), x.inside(lo, n, 3)

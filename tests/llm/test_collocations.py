@@ -6,8 +6,8 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from tarmac.llm import collocations, common
-from tarmac.llm.phrase_index import PIECE, RARE, PhraseIndex
+from tarmac.llm import collocations, common, phrase_index
+from tarmac.llm.phrase_index import PIECE, RARE
 
 ASCII_LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -57,28 +57,26 @@ def corpus(n, seed=5):
 
 
 def test_index_counts_and_open_ends():
-    rng = np.random.default_rng(1)
-    text = np.concatenate([rng.integers(0, 9, 3000), [PIECE]])
-    x = PhraseIndex(text)
-    before, pair, forward, backward, n = x.triples(np.ones(len(x.one), bool))
+    text = np.concatenate([np.random.default_rng(1).integers(0, 9, 3000), [PIECE]])
 
-    def want(k):
+    def want(k, used=lambda a, b: True):
         out = {}
         for i in range(len(text) - k):
             key = tuple(text[i:i + k].tolist())
-            if min(key) > RARE:
+            if min(key) > RARE and all(used(a, b) for a, b in zip(key, key[1:])):
                 c = out.setdefault(key, [0, 0, 0])
                 c[0] += 1
                 c[1] += i > 0 and text[i - 1] != PIECE
                 c[2] += text[i + k] != PIECE
         return out
 
-    def got(words, forward, backward, n):
-        a, b = x.open_ends(forward, backward, n)
-        return {tuple(map(int, w)): [int(c), int(p), int(q)] for *w, c, p, q in zip(*words, n, a, b)}
-
-    assert got([x.one, x.second], x.forward, x.backward, x.count) == want(2)
-    assert got([before, x.one[pair], x.second[pair]], forward, backward, n) == want(3)
+    got = lambda k, found: {tuple(map(int, x[:k])): list(map(int, x[k:])) for x in zip(*found)}
+    odd = lambda a, b: (a * b) % 3 != 1
+    assert got(2, phrase_index.pairs(text)) == want(2)
+    assert got(3, phrase_index.triples(text, lambda a, b: a > 0)) == want(3)
+    assert got(3, phrase_index.triples(text, odd)) == want(3, odd)
+    for empty in (np.zeros(1, int), np.array([RARE, PIECE])):
+        assert not len(phrase_index.pairs(empty)[0]) and not len(phrase_index.triples(empty, odd)[0])
 
 
 @pytest.mark.parametrize("shard_words,bits", [(1_000_000, 26), (700, 8), (50, 3)])
