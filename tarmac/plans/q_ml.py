@@ -211,11 +211,21 @@ def _train_test(spark, sf_dir):
     return FT.oversampled_train(spark, sf_dir, SEED), split.filter(F.col("is_test")), codes
 
 
-def _classifier_run(kind: str, **params):
+_FITTED: dict = {}
+
+
+def fitted_classifier(spark, sf_dir, kind: str):
+    """The classifier ``kind`` on the oversampled training side, fitted once per session and input."""
+    key = (spark.sparkContext.applicationId, sf_dir, FT.input_state(spark, sf_dir), kind)
+    if key not in _FITTED:
+        _FITTED[key] = models.fit(_train_test(spark, sf_dir)[0], kind, "status", "classification", seed=SEED)
+    return _FITTED[key]
+
+
+def _classifier_run(kind: str):
     def run(spark, sf_dir):
-        train, test, _ = _train_test(spark, sf_dir)
-        m = models.fit(train, kind, "status", "classification", seed=SEED, **params)
-        return models.predict(m, test, keep=["row_key", "status", "prediction"])
+        _, test, _ = _train_test(spark, sf_dir)
+        return models.predict(fitted_classifier(spark, sf_dir, kind), test, keep=["row_key", "status", "prediction"])
     return run
 
 
@@ -236,6 +246,7 @@ def _regressor_run(kind: str, **params):
 
 
 query("m7_gbt_classifier")(_classifier_run("gbt"))
+query("m7_second_gbt_classifier")(_classifier_run("gbt_second"))
 query("m8_random_forest_classifier")(_classifier_run("random_forest"))
 query("m9_linear_regression")(_regressor_run("linear"))
 query("m10_decision_tree_regressor")(_regressor_run("decision_tree"))
@@ -273,9 +284,7 @@ def a12_predicted_class_counts(spark, sf_dir):
 
 @query("m17_feature_importance")
 def m17_feature_importance(spark, sf_dir):
-    train, _, _ = _train_test(spark, sf_dir)
-    m = models.fit(train, "random_forest", "status", "classification", seed=SEED)
-    return models.feature_importance(spark, m)
+    return models.feature_importance(spark, fitted_classifier(spark, sf_dir, "random_forest"))
 
 
 _SAVED: dict = {}
@@ -287,8 +296,8 @@ def saved_models(spark, sf_dir) -> str:
     key = (spark.sparkContext.applicationId, sf_dir, FT.input_state(spark, sf_dir))
     if key not in _SAVED:
         from tarmac.plans.q_io import scratch
-        train, _, codes = _train_test(spark, sf_dir)
-        clf = models.fit(train, "random_forest", "status", "classification", seed=SEED)
+        _, _, codes = _train_test(spark, sf_dir)
+        clf = fitted_classifier(spark, sf_dir, "random_forest")
         reg = models.fit(_regression_data(spark, sf_dir)[0], "random_forest", "arrival_delay", "regression", seed=SEED)
         folder = scratch(spark, "models")
         P.save_scoring(folder, clf, reg, codes)
@@ -319,6 +328,31 @@ def m20_result_projection(spark, sf_dir):
     return P.result_projection(scored_live(spark, sf_dir))
 
 
+# -------------------------------------------------------------- first split
+SPLIT_FEATURES = ["temperature", "humidity", "wind_speed", "my_flightradar24_rating", "arrival_delay_index",
+                  "departure_delay_index", "month", "day", "hour", "dayofweek", "quarter"]
+
+
+@query("m7_first_split_gains", with_tables("joined", extra=[TRAIN, """
+long_ AS (""" + " UNION ALL ".join(f"""SELECT '{c}' AS feature, CAST("{c}" AS DOUBLE) AS x, status AS y FROM train""" for c in SPLIT_FEATURES) + ")", """
+tot AS (SELECT count(*) AS n, sum(status) AS pos, avg(status) AS p FROM train)""", """
+val AS (SELECT feature, x, count(*) AS n, sum(y) AS pos FROM long_ GROUP BY feature, x)""", """
+cut AS (SELECT feature, x, lead(x) OVER w AS nx, sum(n) OVER w AS nl, sum(pos) OVER w AS pl FROM val WINDOW w AS (PARTITION BY feature ORDER BY x))""", """
+gain AS (SELECT feature, x + (nx - x) / 2 AS threshold, nl,
+  (p * nl - pl) ^ 2 / (p * (1 - p) * nl) + (p * (n - nl) - (pos - pl)) ^ 2 / (p * (1 - p) * (n - nl)) AS gain
+  FROM cut, tot WHERE nx IS NOT NULL AND nl >= 20 AND n - nl >= 20)""", """
+best AS (SELECT *, row_number() OVER (PARTITION BY feature ORDER BY gain DESC, threshold) AS o FROM gain)"""]) + """
+SELECT feature, round(threshold, 6) AS threshold, round(gain, 6) AS gain, CAST(nl AS BIGINT) AS n_left FROM best WHERE o = 1 AND gain > 0""")
+def m7_first_split_gains(spark, sf_dir):
+    """The best split of all training rows by each feature, as the leaf-wise trees choose their first."""
+    from tarmac.ml import boosting
+    f = FT.training_features(spark, sf_dir)
+    rows = f.select(F.array(*[F.col(f"`{c}`").cast("double") for c in SPLIT_FEATURES]).alias("x"), F.col("status").cast("double").alias("y"))
+    found = [(SPLIT_FEATURES[i], t, g, n) for i, t, g, n in boosting.first_splits(T.materialize(rows), len(SPLIT_FEATURES))]
+    out = spark.createDataFrame(found, "feature string, threshold double, gain double, n_left long")
+    return out.select("feature", F.round("threshold", 6).alias("threshold"), F.round("gain", 6).alias("gain"), "n_left")
+
+
 # ------------------------------------------------------------------ SMOTE
 SMOTE_FEATURES = ["flight_time", "departure_delay", "temperature", "humidity", "wind_speed",
                   "my_flightradar24_rating", "arrival_delay_index", "departure_delay_index",
