@@ -12,7 +12,7 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tarmac.operators.ranking import exact_quantiles
+from tarmac.operators.ranking import quantiles_of_counts, value_counts as counts_of_values
 
 
 # A1
@@ -60,14 +60,14 @@ def duplicate_count(df: DataFrame) -> DataFrame:
 def describe(df: DataFrame, columns: list[str]) -> DataFrame:
     """count, mean, sample std, min, 25/50/75 % (linear interpolation), max
     per numeric column - one row per column."""
-    stacked = df.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").cast("double").alias("value"))
-        for c in columns])).alias("s")).select("s.*")
-    moments = stacked.groupBy("column").agg(
-        F.count("value").alias("count"), F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"), F.min("value").alias("min"),
-        F.max("value").alias("max"))
-    q = exact_quantiles(df, columns, [0.25, 0.5, 0.75])
+    vc = counts_of_values(df, columns)
+    n = F.sum(F.when(F.col("value").isNotNull(), F.col("cnt")))
+    sums = vc.groupBy("column").agg(F.coalesce(n, F.lit(0)).alias("count"), (F.sum(F.col("value") * F.col("cnt")) / n).alias("mean"),
+                                    F.min("value").alias("min"), F.max("value").alias("max"))
+    spread = vc.join(F.broadcast(sums.select("column", "mean", F.col("count").alias("n"))), "column").groupBy("column", "n").agg(  # sums: one row per column
+        F.sum(F.pow(F.col("value") - F.col("mean"), F.lit(2)) * F.col("cnt")).alias("d2"))
+    moments = sums.join(spread, "column").withColumn("std", F.when(F.col("n") > 1, F.sqrt(F.col("d2") / (F.col("n") - 1))))
+    q = quantiles_of_counts(vc, [0.25, 0.5, 0.75])
     return moments.join(q, "column", "left").select(
         "column", "count", "mean", "std", "min",
         F.col("q25").alias("p25"), F.col("q50").alias("p50"), F.col("q75").alias("p75"), "max")
@@ -77,21 +77,19 @@ def describe(df: DataFrame, columns: list[str]) -> DataFrame:
 def box_summary(df: DataFrame, columns: list[str], whisker: float = 1.5) -> DataFrame:
     """Box-plot numbers: quartiles, whisker ends (most extreme values inside
     q1 - 1.5 IQR / q3 + 1.5 IQR) and the count of values outside."""
-    q = exact_quantiles(df, columns, [0.25, 0.75]).select(
+    vc = counts_of_values(df, columns).filter(F.col("value").isNotNull())
+    q = quantiles_of_counts(vc, [0.25, 0.75]).select(
         "column", F.col("q25").alias("q1"), F.col("q75").alias("q3"))
     q = q.withColumns({
         "lo_fence": F.col("q1") - whisker * (F.col("q3") - F.col("q1")),
         "hi_fence": F.col("q3") + whisker * (F.col("q3") - F.col("q1")),
     })
-    stacked = df.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").cast("double").alias("value"))
-        for c in columns])).alias("s")).select("s.*").filter(F.col("value").isNotNull())
-    j = stacked.join(F.broadcast(q), "column")  # q: one row per column
+    j = vc.join(F.broadcast(q), "column")  # q: one row per column
     inside = (F.col("value") >= F.col("lo_fence")) & (F.col("value") <= F.col("hi_fence"))
     return j.groupBy("column", "q1", "q3").agg(
         F.min(F.when(inside, F.col("value"))).alias("whisker_low"),
         F.max(F.when(inside, F.col("value"))).alias("whisker_high"),
-        F.count_if(~inside).alias("outliers"))
+        F.coalesce(F.sum(F.when(~inside, F.col("cnt"))), F.lit(0)).alias("outliers"))
 
 
 # A11
@@ -103,16 +101,16 @@ def kde_grid(df: DataFrame, column: str, gridsize: int = 200, cut: float = 3.0)
     weighted kernel to every grid point (explode of a fixed-size grid, not a
     join of rows with rows) and the sums are a grouped aggregate.
     """
-    x = df.select(F.col(f"`{column}`").cast("double").alias("x")).filter(F.col("x").isNotNull())
-    # Global statistics as scalar subqueries (merged by the optimizer into
-    # one aggregate); no row-to-row join.
-    n = x.select(F.count(F.lit(1))).scalar()
-    bw = x.select(F.stddev_samp("x") * F.pow(F.count(F.lit(1)), F.lit(-0.2))).scalar()
-    lo = x.select(F.min("x")).scalar()
-    hi = x.select(F.max("x")).scalar()
+    vc = counts_of_values(df, [column]).filter(F.col("value").isNotNull()).select(F.col("value").alias("x"), "cnt")
+    # Global statistics of the counts as scalar subqueries; no row-to-row join.
+    n = vc.select(F.coalesce(F.sum("cnt"), F.lit(0))).scalar()
+    mean = vc.select(F.sum(F.col("x") * F.col("cnt")) / F.sum("cnt")).scalar()
+    d2 = vc.select(F.sum(F.pow(F.col("x") - mean, F.lit(2)) * F.col("cnt"))).scalar()
+    bw = F.when(n > 1, F.sqrt(d2 / (n - 1)) * F.pow(n, F.lit(-0.2)))
+    lo = vc.select(F.min("x")).scalar()
+    hi = vc.select(F.max("x")).scalar()
     start = lo - cut * bw
     step = (hi - lo + 2 * cut * bw) / (gridsize - 1)
-    vc = x.groupBy("x").agg(F.count(F.lit(1)).alias("cnt"))
     pts = vc.select("x", "cnt", F.explode(F.sequence(F.lit(0), F.lit(gridsize - 1))).alias("i"))
     pts = pts.withColumn("g", start + F.col("i") * step)
     z = (F.col("g") - F.col("x")) / bw

@@ -62,20 +62,30 @@ def running_position(df: DataFrame, order_cols: list[str], group_cols: list[str]
                  .drop("_bucket", "_off", "_w"))
 
 
+def value_counts(df: DataFrame, columns: list[str]) -> DataFrame:
+    """(column, value, cnt) of several numeric columns, nulls counted too: one
+    pass over ``df``, hot values collapse map-side. Written, so that counts,
+    moments and positions read it and not ``df`` again."""
+    from tarmac.plans.tables import materialize
+
+    stacked = df.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").cast("double").alias("value"))
+        for c in columns])).alias("s")).select("s.*")
+    return materialize(stacked.groupBy("column", "value").agg(F.count(F.lit(1)).alias("cnt")))
+
+
 def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float],
                     rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
     """Exact quantiles with linear interpolation (pandas / DuckDB
-    ``quantile_cont``) for several numeric columns in one pass.
+    ``quantile_cont``) for several numeric columns: one row per column, one
+    ``q<p>`` column per probability (e.g. ``q25``)."""
+    return quantiles_of_counts(value_counts(df, columns), probs, rows_per_bucket)
 
-    Values are stacked to (column, value), pre-aggregated to counts (hot
-    values collapse map-side), positioned with ``running_position`` and the
-    two values around ``p * (n - 1)`` are interpolated. Result: one row per
-    column, one ``q<p>`` column per probability (e.g. ``q25``).
-    """
-    stacked = df.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").cast("double").alias("value"))
-        for c in columns])).alias("s")).select("s.*").filter(F.col("value").isNotNull())
-    vc = stacked.groupBy("column", "value").agg(F.count(F.lit(1)).alias("cnt"))
+
+def quantiles_of_counts(counts: DataFrame, probs: list[float], rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+    """Quantiles of ``value_counts``: values are positioned with
+    ``running_position`` and the two around ``p * (n - 1)`` interpolated."""
+    vc = counts.filter(F.col("value").isNotNull())
     pos = running_position(vc, ["value"], ["column"], weight="cnt", rows_per_bucket=rows_per_bucket)
     totals = vc.groupBy("column").agg(F.sum("cnt").alias("n"))
     pos = pos.join(F.broadcast(totals), "column")

@@ -43,6 +43,14 @@ def hourly_observations(df: DataFrame, midnight: str = "same_day") -> DataFrame:
     return df.withColumn("rounded_hour", C.round_to_hour("date_time", midnight))
 
 
+def observed_hours(raw: DataFrame, midnight: str = "same_day") -> DataFrame:
+    """The keys of ``clean_weather``, without its measures: a join that uses
+    none of them meets the same one row per airport and hour, and no unit is
+    parsed and no survivor chosen."""
+    df = with_observation_time(raw.dropna(how="any"))
+    return df.select("airport", C.round_to_hour("date_time", midnight).alias("rounded_hour")).distinct()
+
+
 ORDER_COLUMNS = MEASURES_INT[:3] + ["wind_direction"] + MEASURES_INT[3:] + MEASURES_FLOAT + [
     "condition", "date_time"]
 

@@ -29,7 +29,7 @@ SELECT airport, count(*) AS flights, count(*) FILTER (WHERE status = 'Delayed')
        round(avg(delay_time), 6) AS mean_delay
 FROM joined GROUP BY airport""")
 def a1_delay_rate_per_airport(spark, sf_dir):
-    j = T.joined(spark, sf_dir)
+    j = T.joined(spark, sf_dir, measures=False)
     out = j.groupBy("airport").agg(
         F.count(F.lit(1)).alias("flights"),
         F.count_if(F.col("status") == "Delayed").alias("delayed"),
@@ -66,14 +66,14 @@ def a3_a4_aircraft_age_stats(spark, sf_dir):
 
 @query("a5_joined_row_count", with_tables("joined") + "SELECT count(*) AS n_rows FROM joined")
 def a5_joined_row_count(spark, sf_dir):
-    return T.joined(spark, sf_dir).agg(F.count(F.lit(1)).alias("n_rows"))
+    return T.joined(spark, sf_dir, measures=False).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
 @query("a6_status_balance", with_tables("joined") + """
 SELECT status, count(*) AS count, round(count(*) / (SELECT count(*) FROM joined), 6) AS share
 FROM joined GROUP BY status""")
 def a6_status_balance(spark, sf_dir):
-    return _round(profile.value_counts(T.joined(spark, sf_dir), "status"))
+    return _round(profile.value_counts(T.joined(spark, sf_dir, measures=False), "status"))
 
 
 def _null_profile_sql() -> str:
@@ -124,7 +124,7 @@ def a10_box_summary(spark, sf_dir):
 
 def arrival_delays(spark, sf_dir):
     """Delayed rows of the joined table with their arrival delay (minutes)."""
-    j = T.joined(spark, sf_dir).filter(F.col("status") == "Delayed")
+    j = T.joined(spark, sf_dir, measures=False).filter(F.col("status") == "Delayed")
     return j.withColumn("arrival_delay", (F.unix_timestamp("actual_time_arrival")
                                           - F.unix_timestamp("scheduled_time_arrival")) / 60)
 

@@ -36,8 +36,11 @@ def reviews_clean(spark, sf_dir) -> DataFrame:
     return dimensions.clean_reviews(raw(spark, sf_dir, "reviews_raw"))
 
 
-def joined(spark, sf_dir) -> DataFrame:
-    return joins.join_flights(flights_clean(spark, sf_dir), weather_clean(spark, sf_dir),
+def joined(spark, sf_dir, measures: bool = True) -> DataFrame:
+    """The joined flight table; without ``measures`` the same rows, but only
+    the keys of the weather."""
+    hours = weather_clean(spark, sf_dir) if measures else weather.observed_hours(raw(spark, sf_dir, "weather_raw"))
+    return joins.join_flights(flights_clean(spark, sf_dir), hours,
                               airports_clean(spark, sf_dir), aircrafts_clean(spark, sf_dir))
 
 

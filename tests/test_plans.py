@@ -55,3 +55,27 @@ def test_checkpoint_folder_must_be_shared_on_a_cluster():
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         checkpoint_dir(Cluster())
+
+
+def test_delay_rate_parses_no_weather_measure(spark):
+    from tarmac.plans import catalog
+    plan = _plan(catalog.queries()["a1_delay_rate_per_airport"](spark, SF_SMALL))
+    assert "_text" in _plan(T.weather_clean(spark, SF_SMALL)) and "_text" not in plan  # texts of measures with units
+    assert "WindowGroupLimit" not in plan  # no survivor is chosen for its measures
+
+
+def test_keys_only_join_has_the_same_rows(spark):
+    whole, keys = T.joined(spark, SF_SMALL), T.joined(spark, SF_SMALL, measures=False)
+    assert set(keys.columns) < set(whole.columns)
+    assert whole.select(*keys.columns).exceptAll(keys).isEmpty() and keys.count() == whole.count()
+
+
+def test_profiles_read_their_input_once(spark):
+    """Describe, box summary and density are made of one written table of value counts."""
+    from tarmac.operators import profile
+    df = spark.createDataFrame([(float(i % 7), None if i % 5 else float(i)) for i in range(200)], "a double, b double")
+    for out in (profile.describe(df, ["a", "b"]), profile.box_summary(df, ["a", "b"]), profile.kde_grid(df, "a")):
+        plan = out._jdf.queryExecution().analyzed().toString()
+        assert "LocalRelation" not in plan and "LogicalRDD" in plan
+    got = {r.column: r for r in profile.describe(df, ["a", "b"]).collect()}
+    assert got["b"]["count"] == 40 and got["b"]["mean"] == 97.5 and abs(got["b"]["std"] - 58.4523) < 1e-3
