@@ -103,3 +103,32 @@ def test_comment_block_ends_at_its_own_close_tag(spark):
             '<div class="content"></div><div class="content">never closed')
     got = pages.extract_comments(spark.createDataFrame([("http://h/DOH", html), ("u", None)], "url string, html string")).collect()
     assert [(r.comment, r.airport) for r in got] == [("a  b c d", "DOH"), ("", "DOH")]
+
+
+def test_dedup_state_is_bounded_and_exact_for_its_time(spark, scratch):
+    """Many restarted batches: a row of the batch before never passes again, and state keeps only what came lately."""
+    import time
+
+    src, out, ck = f"{scratch}/in", f"{scratch}/out", f"{scratch}/ck"
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", jobs.ROCKSDB)
+    sizes, sent = [], 0
+    for batch in range(12):
+        new = spark.range(40 * batch, 40 * batch + 40).selectExpr("concat('row ', id) AS value")
+        again = spark.range(max(0, 40 * batch - 10), 40 * batch + 10).selectExpr("concat('row ', id) AS value")  # of the last batch, and twice in this one
+        new.union(again).coalesce(1).write.text(f"{src}/{batch}")
+        sent += 40
+        df = jobs.dedup_flights(spark.readStream.text(f"{src}/*"), "ttl", ttl="6 seconds")
+        q = df.writeStream.format("parquet").option("path", out).option("checkpointLocation", ck).trigger(availableNow=True).start()
+        q.awaitTermination()
+        sizes.append(q.lastProgress["stateOperators"][0]["numRowsTotal"])
+        time.sleep(1.2)
+    got = [r.value for r in spark.read.parquet(out).collect()]
+    assert len(got) == len(set(got)) == sent
+    assert sizes[0] == 40 and max(sizes) < sent  # evicted after twice the time at most
+
+
+def test_dedup_mode_must_be_known(spark):
+    import pytest
+
+    with pytest.raises(ValueError):
+        jobs.dedup_flights(spark.range(1), "none")
