@@ -354,14 +354,10 @@ def m7_first_split_gains(spark, sf_dir):
 
 
 # ------------------------------------------------------------------ SMOTE
-SMOTE_FEATURES = ["flight_time", "departure_delay", "temperature", "humidity", "wind_speed",
-                  "my_flightradar24_rating", "arrival_delay_index", "departure_delay_index",
-                  "year", "month", "day", "hour", "dayofweek", "quarter"]
-
-
 def _smote_sql() -> str:
-    f = SMOTE_FEATURES
-    cast = ", ".join(f'CAST("{c}" AS DOUBLE) AS "{c}"' for c in f)
+    f = FEATURE_COLUMNS
+    code = lambda c: f'dense_rank() OVER (ORDER BY "{c}") - 1' if c in ENCODED_COLUMNS else f'"{c}"'
+    cast = ", ".join(f'CAST({code(c)} AS DOUBLE) AS "{c}"' for c in f)
     cols = ", ".join(f'"{c}"' for c in f)
     d2 = " + ".join(f'(a."{c}" - b."{c}") * (a."{c}" - b."{c}")' for c in f)
     on = " AND ".join(f'm."{c}" = p."{c}"' for c in f)
@@ -396,5 +392,5 @@ SELECT * FROM base UNION ALL SELECT * FROM syn"""
 @query("m6_smote_train_features", _smote_sql())
 def m6_smote_train_features(spark, sf_dir):
     from tarmac.ml.smote import smote
-    f = FT.training_features(spark, sf_dir)
-    return smote(f, "status", SMOTE_FEATURES, "row_key", k=5, seed=SEED)
+    enc, _ = FT.encoded_training(spark, sf_dir)
+    return smote(enc, "status", FEATURE_COLUMNS, "row_key", k=5, seed=SEED)
