@@ -2,7 +2,7 @@
 scrapers (W5 header-date carry-forward, W6 day rollover, W8 date spine).
 
 Scraper cores re-aimed as batch jobs over a ``pages`` table; everything is
-regex + array functions + windows partitioned by page (a page is bounded).
+regex + array functions + windows inside segments of a page's rows.
 """
 
 from __future__ import annotations
@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tarmac.functions import columns as C
+from tarmac.operators import ranking
 
 HREF = r'href="([^"]*)"'
 ROW = r"(?s)<tr[^>]*>(.*?)</tr>"
@@ -41,12 +42,12 @@ def extract_table_rows(pages: DataFrame, drop_blank: bool = True) -> DataFrame:
 
 
 # W5
-def carry_header_dates(rows: DataFrame) -> DataFrame:
+def carry_header_dates(rows: DataFrame, rows_per_bucket: int = ranking.ROWS_PER_BUCKET) -> DataFrame:
     """Single-cell rows are date headers: each multi-cell row takes the last
-    header above it on its page (commas removed from the header text)."""
-    w = Window.partitionBy("page_id").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
+    header above it on its page (commas removed from the header text). A page
+    of very many rows is split over tasks."""
     header = F.when(F.size("cells") == 1, F.regexp_replace(F.col("cells")[0], ",", ""))
-    out = rows.withColumn("header_date", F.last(header, ignorenulls=True).over(w))
+    out = ranking.carried(rows, "page_id", "pos", header, "header_date", rows_per_bucket)
     return out.filter(F.size("cells") > 1)
 
 
@@ -115,16 +116,26 @@ def extract_details(pages: DataFrame, block_tag: str = "details", item_tag: str
 
 
 # W6
-def day_rollover(labels: DataFrame, group: str, order: str, label: str = "hour") -> DataFrame:
+def day_rollover(labels: DataFrame, group: str, order: str, label: str = "hour", rows_per_bucket: int = ranking.ROWS_PER_BUCKET) -> DataFrame:
     """Hour labels ('7 am', '11 pm') in order; a pm -> am step starts a new
     day. As in the reference the first label also counts as a step (the
     conditional expression binds as ``(am and last is pm) if pairs else
-    'pm'``), so numbering starts at 1."""
-    w = Window.partitionBy(group).orderBy(order)
-    prev = F.lag(label).over(w)
-    step = F.when(prev.isNull(), 1).when(F.col(label).contains("am") & prev.contains("pm"), 1).otherwise(0)
-    running = Window.partitionBy(group).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    return labels.withColumn("_step", step).withColumn("day_offset", F.sum("_step").over(running)).drop("_step")
+    'pm'``), so numbering starts at 1.
+
+    A group that holds most rows is split over tasks: steps are summed inside
+    segments, and a segment's first label meets the last one before it."""
+    rows = ranking.segments(labels, group, order, rows_per_bucket)
+    step = lambda at, prev: F.when(prev.isNull(), 1).when(at.contains("am") & prev.contains("pm"), 1).otherwise(0)
+    here = Window.partitionBy("_bucket", group).orderBy(order)
+    at = rows.withColumn("_n", F.row_number().over(here)).withColumn("_step", F.when(F.col("_n") == 1, 0).otherwise(step(F.col(label), F.lag(label).over(here))))
+    at = at.withColumn("_step", F.sum("_step").over(here.rowsBetween(Window.unboundedPreceding, 0)))
+    # A segment hands on its last label and its steps; its own first step needs the label before it.
+    parts = at.groupBy("_bucket", group).agg(F.min_by(label, "_n").alias("_first"), F.max_by(label, "_n").alias("_last"), F.max("_step").alias("_sum"))
+    chain = Window.partitionBy(group).orderBy("_bucket")
+    parts = parts.withColumn("_begin", step(F.col("_first"), F.lag("_last").over(chain)))
+    off = F.coalesce(F.sum(F.col("_sum") + F.col("_begin")).over(ranking.chained(parts, group)), F.lit(0)) + F.col("_begin")
+    out = at.join(parts.select("_bucket", group, off.alias("_off")), ["_bucket", group])
+    return out.select(*labels.columns, (F.col("_off") + F.col("_step")).alias("day_offset"))
 
 
 # X5

@@ -62,6 +62,34 @@ def running_position(df: DataFrame, order_cols: list[str], group_cols: list[str]
                  .drop("_bucket", "_off", "_w"))
 
 
+def segments(df: DataFrame, group: str, order: str, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+    """``df``, written, with ``_bucket``: a group's rows in one bucket follow
+    each other in ``order``, so a group is a chain of segments (group, bucket)
+    of bounded size. Windows run inside segments; what a segment hands on is
+    carried over the few rows of ``chained``."""
+    from tarmac.plans.tables import materialize
+
+    held = materialize(df)
+    return held.withColumn("_bucket", value_buckets(held, [group, order], rows_per_bucket))
+
+
+def chained(parts: DataFrame, group: str) -> Window:
+    """Window over the segments of a group before each: at most MAX_BUCKETS rows a group."""
+    return Window.partitionBy(group).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+
+
+def carried(df: DataFrame, group: str, order: str, value: Column, out: str, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+    """``out``: the last non-null ``value`` at or before each row of its group.
+    A group that holds most rows is split over tasks."""
+    rows = segments(df.withColumn(out, value), group, order, rows_per_bucket)
+    here = Window.partitionBy("_bucket", group).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    ends = rows.filter(F.col(out).isNotNull()).groupBy("_bucket", group).agg(F.max_by(out, order).alias("_end"))
+    parts = rows.select("_bucket", group).distinct().join(ends, ["_bucket", group], "left")
+    parts = parts.select("_bucket", group, F.last("_end", ignorenulls=True).over(chained(parts, group)).alias("_before"))
+    last = rows.withColumn(out, F.last(out, ignorenulls=True).over(here)).join(parts, ["_bucket", group])
+    return last.withColumn(out, F.coalesce(out, "_before")).select(*df.columns, *([] if out in df.columns else [out]))
+
+
 def value_counts(df: DataFrame, columns: list[str]) -> DataFrame:
     """(column, value, cnt) of several numeric columns, nulls counted too: one
     pass over ``df``, hot values collapse map-side. Written, so that counts,

@@ -40,19 +40,29 @@ def rule_reply(comment: Column) -> Column:
 
 
 def score_comments(df: DataFrame, classifier: Callable[[pd.Series], pd.Series] | None = None,
-                   column: str = "comment") -> DataFrame:
-    """Add ``sentiment`` (1 / 0 / -1)."""
+                   column: str = "comment", retries: int = 1) -> DataFrame:
+    """Add ``sentiment`` (1 / 0 / -1). A batch that fails is asked for comment by
+    comment, a failed comment ``retries`` times more; only that one scores -1."""
     if classifier is None:
         return df.withColumn("sentiment", reply_to_score(rule_reply(F.col(column))))
     schema = StructType(list(df.schema.fields) + [StructField("_reply", StringType(), True)])
 
+    def alone(one):
+        """Reply to one comment; a failed call scores -1, as in the reference."""
+        for _ in range(1 + retries):
+            try:
+                return list(classifier(one))[0]
+            except Exception:  # noqa: BLE001
+                pass
+        return None
+
     def run(batches):
         for pdf in batches:
             try:
-                replies = classifier(pdf[column])
-            except Exception:  # noqa: BLE001 - a failed batch scores -1, as a failed call did
-                replies = pd.Series([None] * len(pdf), index=pdf.index)
-            yield pdf.assign(_reply=replies.values)
+                replies = list(classifier(pdf[column]))
+            except Exception:  # noqa: BLE001 - some comment of the batch fails: ask for each
+                replies = [alone(pdf[column].iloc[i:i + 1]) for i in range(len(pdf))]
+            yield pdf.assign(_reply=replies)
 
     return df.mapInPandas(run, schema).withColumn("sentiment", reply_to_score(F.col("_reply"))).drop("_reply")
 

@@ -276,7 +276,7 @@ def p4_split_line(spark, sf_dir):
 SELECT * FROM flights_raw WHERE regexp_matches(string_split(status, ' ')[1], 'Landed')"""))
 def p5_regex_filter(spark, sf_dir):
     r = T.raw(spark, sf_dir, "flights_raw")
-    return r.filter(C.token("status", " ", 0).rlike("Landed"))
+    return nulls.regex_filter(r, "status", "^[^ ]*Landed")
 
 
 @query("p6_non_blank", _sql(["reviews_raw"], "SELECT * FROM reviews_raw WHERE trim(\"comment\") <> ''"))
@@ -328,8 +328,9 @@ SELECT coalesce(nullif(trim(actual_time_departure), ''), scheduled_time_departur
        coalesce(nullif(trim("date"), ''), 'unknown') AS day_text FROM flights_raw"""))
 def p14_blank_fallback(spark, sf_dir):
     r = T.raw(spark, sf_dir, "flights_raw")
-    return r.select(C.blank_fallback("actual_time_departure", "scheduled_time_departure").alias("departure_clock"),
-                    C.blank_fallback("date", F.lit("unknown")).alias("day_text"))
+    r = nulls.with_fallback(r, "actual_time_departure", "scheduled_time_departure")
+    r = nulls.with_fallback(nulls.with_constant(r, "unknown", "unknown"), "date", "unknown")
+    return r.select(F.col("actual_time_departure").alias("departure_clock"), F.col("date").alias("day_text"))
 
 
 @query("p16_status_routing", _sql(["flights_raw"], """

@@ -12,7 +12,7 @@ from tarmac.operators import dimensions, flights
 from tarmac.plans import tables as T
 from tarmac.plans.oracle import with_tables
 from tarmac.plans.registry import query
-from tarmac.schemas import AIRPORTS, FLIGHTS_HISTORY, REVIEWS
+from tarmac.schemas import AIRPORTS, FLIGHTS_HISTORY, REVIEWS, WEATHER_HISTORY_COLUMNS
 from tarmac.session import checkpoint_dir
 from tarmac.sinks import writers
 from tarmac.sources import fixtures, readers
@@ -107,7 +107,7 @@ def k6_decode_reviews(spark, sf_dir):
     return writers.decode_message(msgs, "reviews")
 
 
-_WEATHER_CELLS = ["airport", "date", "time", "temperature", "humidity", "condition"]
+_WEATHER_CELLS = WEATHER_HISTORY_COLUMNS
 
 
 @query("k6_land_weather", with_tables("weather_raw") + "SELECT concat_ws(',', " + ", ".join(
