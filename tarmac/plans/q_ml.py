@@ -305,7 +305,7 @@ def saved_models(spark, sf_dir) -> str:
     return _SAVED[key]
 
 
-def scored_live(spark, sf_dir, cities: list[str] | None = None):
+def scored_live(spark, sf_dir, cities: list[str] | None = None, start: str = "2000-01-01", end: str = "2100-01-01", forecasts: str = "all"):
     """M19 as a user calls it: both streams' outputs lie partitioned by date,
     models and codes are loaded, dates (and cities) select the flights."""
     from tarmac.operators import flights, weather
@@ -314,7 +314,7 @@ def scored_live(spark, sf_dir, cities: list[str] | None = None):
     f, w = scratch(spark, "live_flights"), scratch(spark, "live_weather")
     flights.clean_flights_stream(T.fixtures.flights_msg(spark, sf_dir)).write.partitionBy("date").parquet(f)
     weather.clean_weather_stream(T.raw(spark, sf_dir, "weather_msg"), location=LIVE_LOCATION).write.partitionBy("date").parquet(w)
-    return P.score_dates(spark, f, w, T.airports_clean(spark, sf_dir), saved_models(spark, sf_dir), "2000-01-01", "2100-01-01", cities)
+    return P.score_dates(spark, f, w, T.airports_clean(spark, sf_dir), saved_models(spark, sf_dir), start, end, cities, forecasts=forecasts)
 
 
 @query("m19_predict_delays")
@@ -323,6 +323,22 @@ def m19_predict_delays(spark, sf_dir):
     return T.portable(out.select("flight_text", "to_text", "rounded_hour", "status", "predicted_delay_time"))
 
 
+SEARCH = {"cities": ["City4", "CITY24", "city0"], "start": "2024-01-05", "end": "2024-01-20", "forecasts": "latest"}
+
+
+@query("m19_search_dates_and_cities", with_tables("flights_live", "airports_clean", "weather_live", extra=[_LATEST]) + """
+SELECT f.flight, f."to", f.rounded_hour, true AS gated
+FROM flights_live f JOIN airports_clean a ON f."to" = a.airport JOIN latest w ON f.rounded_hour = w."timestamp" AND f."to" = w.location
+WHERE f."date" BETWEEN DATE '2024-01-05' AND DATE '2024-01-20' AND w."date" BETWEEN DATE '2024-01-05' AND DATE '2024-01-20'
+  AND (f.from_city IN ('city4', 'city24', 'city0') OR f.to_city IN ('city4', 'city24', 'city0'))""")
+def m19_search_dates_and_cities(spark, sf_dir):
+    """The scoring call of a search: two weeks, three cities in any case, the latest forecast of an hour. ``gated``:
+    minutes are there for flights predicted as delayed, and for those alone."""
+    out = scored_live(spark, sf_dir, **SEARCH)
+    gated = F.coalesce(F.col("status") == 1, F.lit(False)) == F.col("predicted_delay_time").isNotNull()
+    return T.portable(out.select(F.col("flight_text").alias("flight"), F.col("to_text").alias("to"), "rounded_hour", gated.alias("gated")))
+
+
 @query("m20_result_projection")
 def m20_result_projection(spark, sf_dir):
     return P.result_projection(scored_live(spark, sf_dir))
