@@ -58,20 +58,22 @@ def extract_comments(pages: DataFrame, css_class: str = "content", key_col: str
     tag: divs inside are counted. A block that is never closed gives nothing;
     a block of the class inside another is part of the outer one."""
     start = rf'(?s)^<div class="{css_class}"[^>]*>'
-    pieces = F.split("html", r"(?=<div\b)|(?=</div>)")  # each piece begins with the tag it is cut at
-    state = F.struct(F.array().cast("array<string>").alias("done"), F.lit("").alias("text"), F.lit(0).alias("depth"))
-
-    def step(s, p):
-        opens, closes = p.rlike(r"^<div\b"), p.startswith("</div>")
-        new = lambda done, text, depth: F.struct(done.alias("done"), text.alias("text"), depth.alias("depth"))
-        return F.when(s["depth"] == 0, F.when(p.rlike(start), new(s["done"], F.regexp_replace(p, start, ""), F.lit(1))).otherwise(s)) \
-            .when(opens, new(s["done"], F.concat(s["text"], p), s["depth"] + 1)) \
-            .when(closes & (s["depth"] == 1), new(F.concat(s["done"], F.array(s["text"])), F.lit(""), F.lit(0))) \
-            .when(closes, new(s["done"], F.concat(s["text"], p), s["depth"] - 1)) \
-            .otherwise(new(s["done"], F.concat(s["text"], p), s["depth"]))
-
-    blocks = pages.select(C.url_key(key_col).alias("airport"), F.explode(F.aggregate(pieces, state, step, lambda s: s["done"])).alias("block"))
-    text = F.trim(F.regexp_replace(F.regexp_replace("block", TAG, ""), ",", " "))
+    cut = F.split("html", r"(?=<div\b)|(?=</div>)")  # each piece begins with the tag it is cut at
+    held = pages.select(C.url_key(key_col).alias("airport"), F.explode(F.array(cut)).alias("pieces"))
+    tags = F.transform("pieces", lambda p, i: F.struct(
+        i.alias("i"), p.rlike(start).alias("starts"), F.when(p.rlike(r"^<div\b"), 1).when(p.startswith("</div>"), -1).otherwise(0).alias("step")))
+    # Of the open block only its first piece and depth are kept, of a closed one its first piece and the one after its last.
+    new = lambda done, depth, a: F.struct(done.alias("done"), depth.alias("depth"), a.alias("a"))
+
+    def step(s, x):
+        return F.when(s["depth"] == 0, F.when(x["starts"], new(s["done"], F.lit(1), x["i"])).otherwise(s)) \
+            .when((x["step"] == -1) & (s["depth"] == 1), new(F.concat(s["done"], F.array(F.struct(s["a"].alias("a"), x["i"].alias("b")))), F.lit(0), F.lit(0))) \
+            .otherwise(new(s["done"], s["depth"] + x["step"], s["a"]))
+
+    found = F.aggregate(tags, new(F.array().cast("array<struct<a:int,b:int>>"), F.lit(0), F.lit(0)), step, lambda s: s["done"])
+    blocks = held.select("airport", "pieces", F.explode(found).alias("f"))
+    block = F.array_join(F.slice("pieces", F.col("f.a") + 1, F.col("f.b") - F.col("f.a")), "")
+    text = F.trim(F.regexp_replace(F.regexp_replace(block, TAG, ""), ",", " "))
     return blocks.select(text.alias("comment"), "airport")
 
 
