@@ -34,12 +34,14 @@ def with_observation_time(df: DataFrame) -> DataFrame:
     return df.withColumn("date_time", C.parse_timestamp(text, "yyyy-MM-dd h:mm a")).drop("date", "time")
 
 
-def hourly_observations(df: DataFrame, midnight: str = "same_day") -> DataFrame:
-    """D10 up to the hourly key (the packaged-job variant stops after W2)."""
+def hourly_observations(df: DataFrame, midnight: str = "same_day", distinct: bool = True) -> DataFrame:
+    """D10 up to the hourly key (the packaged-job variant stops after W2).
+    ``distinct=False`` leaves equal rows, for a caller that keeps one of them."""
     df = df.dropna(how="any")
     df = parse_units(df)
     df = with_observation_time(df)
-    df = df.dropDuplicates()
+    if distinct:
+        df = df.dropDuplicates()
     return df.withColumn("rounded_hour", C.round_to_hour("date_time", midnight))
 
 
@@ -83,10 +85,9 @@ def clean_weather(raw: DataFrame, variant: str = "notebook", aggregate: str = "s
     ``'notebook'`` adds the per-hour means. ``aggregate='survivor'`` (reference)
     averages the single W2 survivor; ``'all'`` averages every observation of
     the hour."""
-    obs = hourly_observations(raw, midnight)
     if aggregate == "all" and variant == "notebook":
-        return hourly_means(obs)
-    one = one_per_hour(obs)
+        return hourly_means(hourly_observations(raw, midnight))
+    one = one_per_hour(hourly_observations(raw, midnight, distinct=False))  # of equal rows one survives anyway
     if variant == "job":
         return one
     # One row per key already: the mean is that row's value, cast as the

@@ -79,3 +79,7 @@ def test_profiles_read_their_input_once(spark):
         assert "LocalRelation" not in plan and "LogicalRDD" in plan
     got = {r.column: r for r in profile.describe(df, ["a", "b"]).collect()}
     assert got["b"]["count"] == 40 and got["b"]["mean"] == 97.5 and abs(got["b"]["std"] - 58.4523) < 1e-3
+
+
+def test_weather_survivor_shuffles_once(spark):
+    assert _plan(T.weather_clean(spark, SF_SMALL)).count("Exchange hashpartitioning") == 1
