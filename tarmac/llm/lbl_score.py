@@ -8,7 +8,13 @@ unigram noise in numpy: a warm start on a bounded sample (``WARM_DOCS`` texts of
 characters), then one pass over every training text, in tasks that start from the warm parameters and whose
 parameters are averaged by tokens seen. Scoring is normalised exactly: the logits of a context are two rows
 of precomputed products, and each context's log sum over all classes is computed once a task, in batches.
-A token outside the classes gets the probability of their class times its base share in it.
+
+Inside the class of all others a second log-bilinear network chooses among word classes whose number grows with
+the square root of the distinct tokens: the next most frequent tokens each for itself, then the most frequent
+endings of three bytes, then last bytes. Its contexts are these classes and the frequent tokens, so rare words
+count as context too. Its softmax has two steps, a group of classes and a class in it, each normalised over
+about the square root of the classes in batched products; it is trained by NCE in the same pass. A token's
+score is P(other) P(class | other) times its base share in the class, with one share a class for unseen tokens.
 
 Counts of the at most ``HEAD`` most frequent tokens go to the tasks; other tokens are few each, and are joined to the
 count table by token, counted per document first. So memory does not grow with the vocabulary.
@@ -32,6 +38,7 @@ LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 END = b""  # no word is empty
 HEAD, FLUSH = 200_000, 200_000
 WARM_DOCS, WARM_CHARS, TRAIN_TASKS = 1_000, 20_000, 4_096
+SLICE = 4_096  # parameters a row while tasks' networks are averaged
 NEW = ["n_tokens", "n_known", "train_tokens", "base_score", "score"]
 
 
@@ -71,35 +78,38 @@ class Network:
 
     def step(self, w2, w1, target, rng, lr=0.1, n_noise=48):
         """One AdaGrad step on a batch of (context, target)."""
-        p, k, d = self.p, len(self.noise), self.dim
+        p, k = self.p, len(self.noise)
         noise = np.minimum(np.searchsorted(self.cdf, rng.random(n_noise)), k - 1)
-        r1, r2 = p["R"][w1], p["R"][w2]
-        h, qt, qn = r1 @ p["C1"] + r2 @ p["C2"], p["Q"][target], p["Q"][noise]
+        h = (p["R"] @ p["C1"]).take(w1, 0) + (p["R"] @ p["C2"]).take(w2, 0)
+        qt, qn = p["Q"].take(target, 0), p["Q"][noise]
         shift = self.log_noise + np.float32(math.log(n_noise))
-        e_t = 1 - _sigmoid(np.einsum("ij,ij->i", h, qt) + p["b"][target] - shift[target])
-        e_n = -_sigmoid(h @ qn.T + (p["b"] - shift)[noise])
+        e_t = _sigmoid(-np.einsum("ij,ij->i", h, qt), (shift - p["b"])[target])
+        e_n = _sigmoid(np.dot(h, qn.T), (p["b"] - shift)[noise], -1)
         gh = e_t[:, None] * qt + e_n @ qn
-        spread = lambda i, x: np.bincount((i[:, None] * d + np.arange(d)).ravel(), x.ravel(), k * d).reshape(k, d)
-        g = {"Q": spread(np.concatenate([target, noise]), np.concatenate([e_t[:, None] * h, e_n.T @ h])),
-             "b": np.bincount(np.concatenate([target, noise]), np.concatenate([e_t, e_n.sum(0)]), k),
-             "R": spread(np.concatenate([w1, w2]), np.concatenate([gh @ p["C1"].T, gh @ p["C2"].T])), "C1": r1.T @ gh, "C2": r2.T @ gh}
-        for n, x in g.items():
-            x = (x / len(target)).astype(np.float32)
-            self.g2[n] += x * x
-            p[n] += np.float32(lr) * x / np.sqrt(self.g2[n])
-
-    def train(self, documents, rng, batch=2048, chunk=1 << 16) -> int:
-        """One pass over arrays of classes, each a document with its end; returns the tokens seen."""
+        _move(self, np.concatenate([target, noise]), {"Q": np.concatenate([e_t[:, None] * h, e_n.T @ h]), "b": np.concatenate([e_t, e_n.sum(0)])}, len(target), lr)
+        g1, g2 = np.zeros_like(p["R"]), np.zeros_like(p["R"])
+        for w, g in ((w1, g1), (w2, g2)):
+            rows, order, first = _by_row(w)
+            g[rows] = np.add.reduceat(gh.take(order, 0), first, axis=0)
+        _move(self, None, {"C1": p["R"].T @ g1, "C2": p["R"].T @ g2, "R": g1 @ p["C1"].T + g2 @ p["C2"].T}, len(target), lr)
+
+    def train(self, documents, rng, finer: "Finer", batch=2048, chunk=1 << 16) -> int:
+        """One pass over arrays of places, each a document with its end; returns the tokens seen."""
         held, size, seen = [], 0, 0
 
         def run():
-            t = np.concatenate([np.concatenate([[1, 1], x]) for x in held])
+            place = np.concatenate([np.concatenate([[1, 1], x]) for x in held])
+            t = np.where(place < len(self.noise), place, 0)
             starts = np.cumsum([0] + [len(x) + 2 for x in held[:-1]])
             at = np.setdiff1d(np.arange(len(t)), np.concatenate([starts, starts + 1]), assume_unique=True)
             at = rng.permutation(at)
             for i in range(0, len(at), batch):
                 j = at[i:i + batch]
                 self.step(t[j - 2], t[j - 1], t[j], rng)
+            at = at[t[at] == 0]
+            for i in range(0, len(at), batch):
+                j = at[i:i + batch]
+                finer.step(place[j - 2], place[j - 1], place[j] - len(self.noise), rng)
 
         for x in documents:
             held.append(x)
@@ -123,8 +133,92 @@ class Network:
         return self
 
 
-def _sigmoid(x):
-    return np.float32(1) / (np.float32(1) + np.exp(np.clip(-x, -30, 30)))
+class Finer:
+    """Word classes inside the class of all other tokens: a log-bilinear model whose softmax chooses a group of
+    ``size`` neighbouring classes, then a class in it. Contexts are ``places`` many."""
+
+    def __init__(self, noise: np.ndarray, places: int, dim: int = 24, seed: int = 11):
+        rng, self.noise, self.places, self.dim = np.random.default_rng(seed), noise / noise.sum(), places, dim
+        self.size = max(1, math.isqrt(len(noise)))
+        self.group_noise = np.add.reduceat(self.noise, np.arange(0, len(noise), self.size))
+        self.p = {"R1": rng.normal(0, 0.1, (places, dim)), "R2": rng.normal(0, 0.05, (places, dim)),
+                  "Q": rng.normal(0, 0.1, (len(noise), dim)), "b": np.log(self.noise),
+                  "S": rng.normal(0, 0.1, (len(self.group_noise), dim)), "e": np.log(self.group_noise)}
+        self.p = {n: x.astype(np.float32) for n, x in self.p.items()}
+        self.g2 = {n: np.full_like(x, 1e-4) for n, x in self.p.items()}
+        self.drawn = [(np.cumsum(x), np.log(x).astype(np.float32)) for x in (self.noise, self.group_noise)]
+
+    def step(self, w2, w1, target, rng, lr=0.1):
+        """One AdaGrad step on a batch of (context, class): NCE of the class among all and of its group."""
+        p, n = self.p, len(target)
+        h, gh = p["R1"].take(w1, 0) + p["R2"].take(w2, 0), np.zeros((n, self.dim), np.float32)
+        changed = [(w1, {"R1": gh}), (w2, {"R2": gh})]
+        for (cdf, log_noise), q, b, t, k in ((self.drawn[0], "Q", "b", target, 32), (self.drawn[1], "S", "e", target // self.size, 8)):
+            drawn = np.minimum(np.searchsorted(cdf, rng.random(k)), len(cdf) - 1)
+            shift, qt, qn = log_noise + np.float32(math.log(k)), p[q].take(t, 0), p[q][drawn]
+            e_t = _sigmoid(-np.einsum("ij,ij->i", h, qt), shift[t] - p[b][t])
+            e_n = _sigmoid(np.dot(h, qn.T), p[b][drawn] - shift[drawn], -1)
+            gh += e_t[:, None] * qt + e_n @ qn
+            rows = np.concatenate([t, drawn])
+            changed.append((rows, {q: np.concatenate([e_t[:, None] * h, e_n.T @ h]), b: np.concatenate([e_t, e_n.sum(0)])}))
+        for rows, x in changed:
+            _move(self, rows, x, n, lr)
+
+    flat = Network.flat
+    load = Network.load
+
+    def log_p(self, w2, w1, target, chunk=1 << 14) -> np.ndarray:
+        """Natural log P(class | context), normalised exactly in both steps."""
+        p, out = self.p, np.empty(len(target))
+        for i in range(0, len(target), chunk):
+            t = target[i:i + chunk]
+            h, group = p["R1"].take(w1[i:i + chunk], 0) + p["R2"].take(w2[i:i + chunk], 0), t // self.size
+            found = _log_softmax(h @ p["S"].T + p["e"], group).astype(float)
+            order = np.argsort(group, kind="stable")
+            cuts = np.flatnonzero(np.diff(group[order])) + 1
+            for rows in np.split(order, cuts):
+                first = group[rows[0]] * self.size
+                found[rows] += _log_softmax(h.take(rows, 0) @ p["Q"][first:first + self.size].T + p["b"][first:first + self.size], t[rows] - first)
+            out[i:i + chunk] = found
+        return out
+
+
+def _by_row(rows):
+    """(distinct rows, an order by row, where each row's run starts in it)."""
+    order = np.argsort(rows)
+    found = rows[order]
+    first = np.flatnonzero(np.diff(found, prepend=-1))
+    return found[first], order, first
+
+
+def _move(net, rows, gradients, n, lr):
+    """AdaGrad with gradients summed by row (None: whole tables); only rows that a batch meets are touched, so a
+    step's cost does not grow with the classes."""
+    at = slice(None)
+    if rows is not None:
+        at, order, first = _by_row(rows)
+        gradients = {name: np.add.reduceat(x.take(order, 0), first, axis=0) for name, x in gradients.items()}
+    for name, x in gradients.items():
+        x = x / np.float32(n)
+        g2 = net.g2[name][at] + x * x
+        net.g2[name][at] = g2
+        net.p[name][at] += np.float32(lr) * x / np.sqrt(g2)
+
+
+def _log_softmax(logits, chosen):
+    logits -= logits.max(1, keepdims=True)
+    found = logits[np.arange(len(chosen)), chosen]
+    return found - np.log(np.exp(logits, out=logits) @ np.ones(logits.shape[1], logits.dtype))
+
+
+def _sigmoid(x, more, sign=1):
+    """``sign`` times the logistic function of x + more, in the memory of x."""
+    x += more
+    x *= np.float32(0.5)
+    np.tanh(x, out=x)
+    x *= np.float32(sign * 0.5)
+    x += np.float32(sign * 0.5)
+    return x
 
 
 class Vocabulary:
@@ -139,9 +233,54 @@ class Vocabulary:
     def base(self, n):
         return (n + 0.5) / (self.total + 0.5 * (self.distinct + 1))
 
+    def refine(self, alone: int, endings: list[tuple[bytes, int, int]]):
+        """Word classes of the tokens beyond ``classes``: the next ``alone`` of the head each for itself, then
+        ``endings`` (bytes, occurrences, tokens), then any other token. A token's place is its class in contexts."""
+        first = self.classes + alone
+        self.ending = {e: first + i for i, (e, _, _) in enumerate(endings)}
+        self.places = first + len(endings) + 1
+        self.place = np.arange(len(self.counts))
+        for t, i in self.rank.items():
+            if i >= first:
+                self.place[i] = self.class_of(t)
+        mass = [*(self.counts[self.classes:first] + 0.5), *(n + 0.5 * k + 0.5 for _, n, k in endings), 0.5]
+        self.finer_mass = np.array(mass) / (self.total + 0.5 * (self.distinct + 1))
+        return self
+
+    def class_of(self, token: bytes) -> int:
+        return self.ending.get(token[-3:]) or self.ending.get(token[-1:]) or self.places - 1
+
+    def find(self, words: list[bytes]):
+        """(ranks, places) of the words and the end."""
+        get = self.rank.get
+        ranks = np.array([get(w, 0) for w in words] + [1])
+        places = self.place[ranks]
+        tail = np.flatnonzero(ranks == 0)
+        places[tail] = [self.class_of(words[i]) for i in tail.tolist()]
+        return ranks, places
+
+
+def ending_counts(counts: DataFrame, alone: list[bytes], most: int) -> list[tuple[bytes, int, int]]:
+    """(ending, occurrences, tokens) over the counted tokens but those ``alone``: the ``most`` most frequent
+    endings of three bytes (shorter tokens whole), and the last bytes of all other tokens."""
+    spark = counts.sparkSession
+    rest = counts.where(F.length("token") > 0)
+    if alone:
+        rest = rest.join(spark.createDataFrame([(bytearray(t),) for t in alone], "token binary"), "token", "left_anti")
+    by_three = C.written(rest.groupBy(F.expr("substring(token, -3, 3)").alias("ending")).agg(F.sum("n").alias("n"), F.count("n").alias("k")), "endings")
+    top = C.highest(by_three, F.col("n"), most)
+    last = by_three.join(top.select("ending"), "ending", "left_anti").groupBy(F.expr("substring(ending, -1, 1)").alias("ending"))
+    last = last.agg(F.sum("n").alias("n"), F.sum("k").alias("k"))  # at most 256
+    tables = [{bytes(e): (n, k) for e, n, k in df.collect()} for df in (top, last)]
+    for e in tables[0].keys() & tables[1].keys():  # a token of one byte is its own ending
+        n, k = tables[1].pop(e)
+        tables[0][e] = (tables[0][e][0] + n, tables[0][e][1] + k)
+    return sorted(((e, n, k) for t in tables for e, (n, k) in t.items()), key=lambda x: (-x[1], x[0]))
+
 
 def fit(docs: DataFrame, n_classes: int = 1_000, dim: int = 24):
-    """(vocabulary, network, count table) from all of ``docs`` (text)."""
+    """(vocabulary, network, count table) from all of ``docs`` (text); the network of the word classes is
+    ``vocabulary.finer``."""
     spark = docs.sparkSession
     counts = C.written(token_counts(docs), "tokens")
     total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("n")).first()
@@ -151,46 +290,53 @@ def fit(docs: DataFrame, n_classes: int = 1_000, dim: int = 24):
     vocabulary = Vocabulary(head, ends, total, distinct, n_classes)
     known = vocabulary.base(vocabulary.counts[1:vocabulary.classes])
     network = Network(np.concatenate([[max(1 - known.sum(), 1e-12)], known]), dim)
+    root = math.isqrt(distinct)
+    alone = max(0, min(2 * root, len(head) - n_classes))
+    vocabulary.refine(alone, ending_counts(counts, [t for t, _ in head[:n_classes + alone]], root))
+    finer = vocabulary.finer = Finer(vocabulary.finer_mass, vocabulary.places, dim)
     if not total:
         return vocabulary, network, counts
-    held = spark.sparkContext.broadcast((vocabulary.rank, vocabulary.classes))
+    held = spark.sparkContext.broadcast(vocabulary)
 
-    def classes(texts):
-        rank, n = held.value
+    def places(texts):
         for text in texts:
-            ids = [rank.get(w, 0) for w in tokens(text)] + [1]
-            x = np.array(ids)
-            x[x >= n] = 0
-            yield x
+            yield held.value.find(tokens(text))[1]
 
     h = F.pmod(F.xxhash64("text"), F.lit(1 << 30))
     few = docs.select("text").where((h < int((1 << 30) * min(1.0, 4 * WARM_DOCS / max(1, ends)))) & (F.length("text") <= WARM_CHARS))
-    network.train(classes(r.text for r in few.orderBy(h).limit(WARM_DOCS).collect()), np.random.default_rng(1))
-    start = spark.sparkContext.broadcast((network.noise, network.dim, network.flat()))
+    network.train(places(r.text for r in few.orderBy(h).limit(WARM_DOCS).collect()), np.random.default_rng(1), finer)
+    start = spark.sparkContext.broadcast((network.noise, network.dim, network.flat(), finer.flat()))
 
     def train(batches):
         from pyspark import TaskContext
 
-        noise, dim, flat = start.value
-        task = TaskContext.get().partitionId()
-        net = Network(noise, dim).load(flat)
-        seen = net.train(classes(t.as_py() for b in batches for t in b.column(0)), np.random.default_rng([2, task]))
+        noise, dim, flat, finer_flat = start.value
+        task, words = TaskContext.get().partitionId(), held.value
+        net, fine = Network(noise, dim).load(flat), Finer(words.finer_mass, words.places, dim).load(finer_flat)
+        seen = net.train(places(t.as_py() for b in batches for t in b.column(0)), np.random.default_rng([2, task]), fine)
         if seen:
-            yield pa.RecordBatch.from_arrays([pa.array([task % 64], pa.int32()), pa.array([seen], pa.int64()),
-                                              pa.array([(net.flat() * np.float32(seen)).tobytes()], pa.binary())], ["g", "seen", "sum"])
+            x = np.concatenate([net.flat(), fine.flat()]) * np.float32(seen)
+            parts = [x[i:i + SLICE].tobytes() for i in range(0, len(x), SLICE)]
+            yield pa.RecordBatch.from_arrays([pa.array(range(len(parts)), pa.int32()), pa.array([seen] * len(parts), pa.int64()),
+                                              pa.array(parts, pa.binary())], ["slice", "seen", "sum"])
 
     def add(batches):
-        n, total = 0, 0.0
+        n, total = Counter(), {}
         for b in batches:
-            for seen, raw in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
-                n, total = n + seen, total + np.frombuffer(raw, np.float32).astype(float)
+            for i, seen, raw in zip(*(c.to_pylist() for c in b.columns)):
+                n[i] += seen
+                total[i] = total.get(i, 0) + np.frombuffer(raw, np.float32).astype(float)
         if n:
-            yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64()), pa.array([total.tobytes()], pa.binary())], ["seen", "sum"])
+            yield pa.RecordBatch.from_arrays([pa.array(n, pa.int32()), pa.array([(total[i] / n[i]).astype(np.float32).tobytes() for i in n], pa.binary())],
+                                             ["slice", "mean"])
 
-    trained = docs.select("text").coalesce(TRAIN_TASKS).mapInArrow(train, "g int, seen long, sum binary")
-    parts = C.written(trained.repartition(64, "g").mapInArrow(add, "seen long, sum binary"), "network").collect()  # at most 64 rows
+    trained = docs.select("text").coalesce(TRAIN_TASKS).mapInArrow(train, "slice int, seen long, sum binary")
+    parts = C.written(trained.repartition(64, "slice").mapInArrow(add, "slice int, mean binary"), "network").collect()  # the parameters once
     if parts:
-        network.load(sum(np.frombuffer(bytes(r["sum"])) for r in parts) / sum(r.seen for r in parts))
+        flat = np.concatenate([np.frombuffer(bytes(r["mean"]), np.float32) for r in sorted(parts, key=lambda r: r["slice"])])
+        cut = len(network.flat())
+        network.load(flat[:cut])
+        finer.load(flat[cut:])
     return vocabulary, network, counts
 
 
@@ -199,20 +345,37 @@ class Scorer:
 
     def __init__(self, vocabulary: Vocabulary, noise: np.ndarray, dim: int, flat: np.ndarray):
         p = {n: x.astype(float) for n, x in Network(noise, dim).load(flat).p.items()}
-        self.rank, k, self.trained = vocabulary.rank, len(noise), vocabulary.total > 0
+        self.vocabulary, self.finer, k, self.trained = vocabulary, vocabulary.finer, len(noise), vocabulary.total > 0
         self.base = np.log10(vocabulary.base(vocabulary.counts))
         self.classes, self.rest = k, math.log10(noise[0])
         self.a1, self.a2 = p["R"] @ p["C1"] @ p["Q"].T + p["b"], p["R"] @ p["C2"] @ p["Q"].T
         self.log_z = np.full(k * k, np.nan)
+        self.share = np.log10(vocabulary.finer_mass) - self.rest  # a word class's base share in the other tokens
 
     def __call__(self, text):
         """(tokens, known ones of the head, base score, score, Counter of the other tokens)."""
-        words = tokens(text)
-        get = self.rank.get
-        ranks = np.array([get(w, 0) for w in words] + [1])
-        tail = Counter(words[i] for i in np.flatnonzero(ranks[:-1] == 0))
-        w = np.where(ranks < self.classes, ranks, 0)
-        w1, w2 = np.concatenate([[1], w[:-1]]), np.concatenate([[1, 1], w[:-2]])[:len(w)]
+        return next(self.many([text]))
+
+    def many(self, texts, most: int = 1 << 16):
+        """What a call gives for each text; the network runs over about ``most`` tokens at once."""
+        held, size = [], 0
+        for text in texts:
+            held.append(tokens(text))
+            size += len(held[-1]) + 1
+            if size >= most:
+                yield from self._batch(held)
+                held, size = [], 0
+        if held:
+            yield from self._batch(held)
+
+    def _batch(self, texts):
+        found = [self.vocabulary.find(words) for words in texts]
+        ranks = np.concatenate([r for r, _ in found])
+        starts = np.cumsum([0] + [len(r) for r, _ in found[:-1]])
+        p1 = np.concatenate([[1], np.concatenate([p for _, p in found])])
+        place, p2 = p1[1:], np.concatenate([[1], p1[:-2]])
+        p1, p2[starts] = p1[:-1], 1  # the token before a start is the end of the text before
+        w, w1, w2 = (np.where(x < self.classes, x, 0) for x in (place, p1, p2))
         context = w1 * self.classes + w2
         new = np.unique(context[np.isnan(self.log_z[context])])
         for i in range(0, len(new), 2048):
@@ -220,12 +383,16 @@ class Scorer:
             logits = self.a1[c // self.classes] + self.a2[c % self.classes]
             top = logits.max(1)
             self.log_z[c] = top + np.log(np.exp(logits - top[:, None]).sum(1))
-        log_p = (self.a1[w1, w] + self.a2[w2, w] - self.log_z[context]).sum() / math.log(10)
-        in_head = ranks > 0
-        base = self.base[ranks[in_head]].sum()
-        other = w == 0
-        inside = self.base[ranks[other & in_head]].sum() - self.rest * other.sum()
-        return len(ranks), int(in_head.sum()) if self.trained else 0, float(base), float(log_p + inside), tail
+        log_p = (self.a1[w1, w] + self.a2[w2, w] - self.log_z[context]) / math.log(10)
+        in_head, other = ranks > 0, w == 0
+        base = np.where(in_head, self.base[ranks], 0)
+        at = np.flatnonzero(other)
+        target = place[at] - self.classes
+        log_p[at] += base[at] - self.rest + self.finer.log_p(p2[at], p1[at], target) / math.log(10) - self.share[target]
+        known = np.add.reduceat(in_head.astype(int), starts) if self.trained else np.zeros(len(texts), int)
+        totals = zip(known.tolist(), np.add.reduceat(base, starts).tolist(), np.add.reduceat(log_p, starts).tolist())
+        for words, (r, _), (k, b, p) in zip(texts, found, totals):
+            yield len(r), k, b, p, Counter(words[i] for i in np.flatnonzero(r[:-1] == 0))
 
 
 def score(docs: DataFrame, model) -> DataFrame:
@@ -246,7 +413,7 @@ def score(docs: DataFrame, model) -> DataFrame:
         scorer, key = Scorer(*held.value), TaskContext.get().partitionId() << 33
         tail_type = pa.list_(pa.struct([("token", pa.binary()), ("k", pa.int64())]))
         for batch in (b.slice(i, 512) for b in batches for i in range(0, b.num_rows, 512)):
-            found = [scorer(t.as_py()) for t in batch.column(1)]
+            found = list(scorer.many(t.as_py() for t in batch.column(1)))
             tail = pa.array([[{"token": t, "k": k} for t, k in x[4].items()] for x in found], tail_type)
             columns = [pa.array([x[i] for x in found], kind) for i, kind in enumerate([pa.int64(), pa.int64(), pa.float64(), pa.float64()])]
             keys = pa.array(range(key, key + len(found)), pa.int64())
