@@ -26,6 +26,7 @@ like a result are replaced.
 
 import math
 from collections import Counter
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -253,7 +254,8 @@ class Vocabulary:
     def find(self, words: list[bytes]):
         """(ranks, places) of the words and the end."""
         get = self.rank.get
-        ranks = np.array([get(w, 0) for w in words] + [1])
+        ranks = np.ones(len(words) + 1, np.int64)  # the end's
+        ranks[:-1] = np.fromiter(map(get, words, repeat(0)), np.int64, len(words))
         places = self.place[ranks]
         tail = np.flatnonzero(ranks == 0)
         places[tail] = [self.class_of(words[i]) for i in tail.tolist()]
@@ -356,7 +358,7 @@ class Scorer:
         """(tokens, known ones of the head, base score, score, Counter of the other tokens)."""
         return next(self.many([text]))
 
-    def many(self, texts, most: int = 1 << 16):
+    def many(self, texts, most: int = 1 << 14):
         """What a call gives for each text; the network runs over about ``most`` tokens at once."""
         held, size = [], 0
         for text in texts:
