@@ -284,6 +284,16 @@ def p6_non_blank(spark, sf_dir):
     return nulls.non_blank(T.raw(spark, sf_dir, "reviews_raw"), "comment")
 
 
+@query("p6_non_blank_some", _sql(["reviews_raw"], """
+SELECT "comment" FROM (SELECT CASE length("comment") % 3 WHEN 0 THEN '' WHEN 1 THEN '   ' ELSE "comment" END AS "comment" FROM reviews_raw)
+WHERE trim("comment") <> ''"""))
+def p6_non_blank_some(spark, sf_dir):
+    """Comments of two in three lengths are emptied or blanked first, so the filter has rows to drop."""
+    third = F.length("comment") % 3
+    some = F.when(third == 0, "").when(third == 1, "   ").otherwise(F.col("comment"))
+    return nulls.non_blank(T.raw(spark, sf_dir, "reviews_raw").select(some.alias("comment")), "comment")
+
+
 @query("p8_drop_any_null", _sql(["weather_raw"], "SELECT * FROM weather_raw WHERE condition IS NOT NULL"))
 def p8_drop_any_null(spark, sf_dir):
     return nulls.require(T.raw(spark, sf_dir, "weather_raw"))
@@ -341,6 +351,31 @@ def p16_status_routing(spark, sf_dir):
     return nulls.route_by_status(rows, "history").select("flight", "status")
 
 
+_ROUTED = """
+SELECT flight, status FROM (SELECT flight, CASE WHEN right(flight, 1) IN ('0', '1', '2') THEN 'Scheduled'
+    WHEN right(flight, 1) IN ('3', '4') THEN 'Estimated 10:15' ELSE status END AS status FROM flights_raw)
+WHERE """
+
+
+def _routed(spark, sf_dir, mode):
+    """Flights by their number's last digit as not yet departed, so both modes keep some rows and drop some."""
+    last = F.right("flight", F.lit(1))
+    status = F.when(last.isin("0", "1", "2"), "Scheduled").when(last.isin("3", "4"), "Estimated 10:15").otherwise(F.col("status"))
+    r = T.raw(spark, sf_dir, "flights_raw").select("flight", status.alias("status"))
+    rows = r.select("*", F.array("flight", "status", F.lit("x"), F.lit("y")).alias("cells"))
+    return nulls.route_by_status(rows, mode).select("flight", "status")
+
+
+@query("p16_history_routing", _sql(["flights_raw"], _ROUTED + "status <> 'Scheduled'"))
+def p16_history_routing(spark, sf_dir):
+    return _routed(spark, sf_dir, "history")
+
+
+@query("p16_live_routing", _sql(["flights_raw"], _ROUTED + "split_part(status, ' ', 1) IN ('Scheduled', 'Estimated')"))
+def p16_live_routing(spark, sf_dir):
+    return _routed(spark, sf_dir, "live")
+
+
 @query("p17_class_filter", _sql(["flights_clean"], """
 SELECT flight, delay_time FROM flights_clean WHERE status = 'Delayed'"""))
 def p17_class_filter(spark, sf_dir):
