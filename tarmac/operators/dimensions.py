@@ -57,6 +57,6 @@ def clean_airports(raw: DataFrame, variant: str = "notebook") -> DataFrame:
 def clean_reviews(raw: DataFrame) -> DataFrame:
     """Lower-case, keep ASCII letters / digits / blanks, drop blank comments,
     drop duplicate (comment, airport) rows. Whole texts are kept."""
-    df = raw.withColumn("comment", C.keep_alnum(F.lower("comment")))
+    df = C.parsed(raw, {"comment": C.keep_alnum(F.lower("comment"))})
     df = df.filter(F.trim("comment") != "")
     return df.dropDuplicates()

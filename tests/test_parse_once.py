@@ -50,3 +50,12 @@ def test_features_are_written_before_codes_and_splits(spark):
     enc, _ = FT.encoded_training(spark, SF_SMALL)
     assert "parquet" not in _plan(enc)
     assert "parquet" not in _plan(catalog.queries()["m4_stratified_split"](spark, SF_SMALL))
+
+
+def test_reviews_are_cleaned_once(spark):
+    from tarmac.operators import dimensions
+
+    raw = spark.createDataFrame([("Good, VERY good!", "a1"), ("goodvery good", "a1"), ("?!", "a2"), (None, "a2"), ("Good  very good", "a1"), ("good very good", "a1")], "comment string, airport string")
+    out = dimensions.clean_reviews(raw)
+    assert not [line for line in _plan(out).splitlines() if re.match(r"[\s:+-]*Filter", line) and "regexp_replace" in line]
+    assert sorted(map(tuple, out.collect())) == [("good  very good", "a1"), ("good very good", "a1"), ("goodvery good", "a1")]
