@@ -7,7 +7,7 @@ of class w after w1, w2 is (R[w1] C1 + R[w2] C2) . Q[w] + b[w]. Training maximis
 unigram noise in numpy: a warm start on a bounded sample (``WARM_DOCS`` texts of at most ``WARM_CHARS``
 characters), then one pass over every training text, in tasks that start from the warm parameters and whose
 parameters are averaged by tokens seen. Scoring is normalised exactly: the logits of a context are two rows
-of precomputed products, and each context's log sum over all classes is computed once a task, in batches.
+of precomputed products, and all contexts' sums over the classes are one product of matrices of exponentials.
 
 Inside the class of all others a second log-bilinear network chooses among word classes whose number grows with
 the square root of the distinct tokens: the next most frequent tokens each for itself, then the most frequent
@@ -30,6 +30,7 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -48,15 +49,39 @@ def tokens(text) -> list[bytes]:
     return (text or "").encode().translate(LOWER).split()
 
 
+def word_lists(texts: pa.Array):
+    """(words as one binary array, words of each text) of string texts, as ``tokens`` gives them."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    words, starts = lists.flatten().cast(pa.binary()), np.asarray(lists.offsets)
+    full = pc.greater(pc.binary_length(words), 0)  # white space at an end leaves an empty part
+    before = np.concatenate([[0], np.cumsum(np.asarray(full.cast(pa.int64())))])
+    return words.filter(full), np.diff(before[starts - starts[0]])
+
+
+def _bytes(words: pa.Array) -> list[bytes]:
+    return words.to_numpy(zero_copy_only=False).tolist()  # several times faster than to_pylist
+
+
+def pieces(texts: pa.Array, most: int = 1 << 20):
+    """``texts`` in runs of about ``most`` bytes, a text at least."""
+    sizes = np.cumsum(np.asarray(pc.fill_null(pc.binary_length(texts), 0).cast(pa.int64())) + 1)
+    at = 0
+    while at < len(texts):
+        to = max(at + 1, int(np.searchsorted(sizes, (sizes[at - 1] if at else 0) + most, "right")))
+        yield texts.slice(at, to - at)
+        at = to
+
+
 def token_counts(docs: DataFrame) -> DataFrame:
     """(token, n) over all texts, the end of each included."""
 
     def count(batches):
         held = Counter()
         for batch in batches:
-            for text in batch.column(0):
-                held.update(tokens(text.as_py()))
-                held[END] += 1
+            for texts in pieces(batch.column(0)):
+                found = word_lists(texts)[0].value_counts()
+                held.update(dict(zip(_bytes(found.field("values")), np.asarray(found.field("counts")).tolist())))
+                held[END] += len(texts)
                 if len(held) >= FLUSH:
                     yield pa.RecordBatch.from_arrays([pa.array(held.keys(), pa.binary()), pa.array(held.values(), pa.int64())], ["token", "n"])
                     held = Counter()
@@ -102,8 +127,9 @@ class Network:
             place = np.concatenate([np.concatenate([[1, 1], x]) for x in held])
             t = np.where(place < len(self.noise), place, 0)
             starts = np.cumsum([0] + [len(x) + 2 for x in held[:-1]])
-            at = np.setdiff1d(np.arange(len(t)), np.concatenate([starts, starts + 1]), assume_unique=True)
-            at = rng.permutation(at)
+            is_token = np.ones(len(t), bool)
+            is_token[starts] = is_token[starts + 1] = False
+            at = rng.permutation(np.flatnonzero(is_token))
             for i in range(0, len(at), batch):
                 j = at[i:i + batch]
                 self.step(t[j - 2], t[j - 1], t[j], rng)
@@ -186,10 +212,11 @@ class Finer:
 
 def _by_row(rows):
     """(distinct rows, an order by row, where each row's run starts in it)."""
-    order = np.argsort(rows)
+    rows = rows.astype(np.uint16) if rows.max(initial=0) < 1 << 16 else rows  # sorted by radix
+    order = np.argsort(rows, kind="stable")
     found = rows[order]
-    first = np.flatnonzero(np.diff(found, prepend=-1))
-    return found[first], order, first
+    first = np.flatnonzero(np.concatenate([[True], found[1:] != found[:-1]]))
+    return found[first].astype(np.int64), order, first
 
 
 def _move(net, rows, gradients, n, lr):
@@ -215,11 +242,11 @@ def _log_softmax(logits, chosen):
 def _sigmoid(x, more, sign=1):
     """``sign`` times the logistic function of x + more, in the memory of x."""
     x += more
-    x *= np.float32(0.5)
-    np.tanh(x, out=x)
-    x *= np.float32(sign * 0.5)
-    x += np.float32(sign * 0.5)
-    return x
+    np.negative(x, out=x)
+    with np.errstate(over="ignore"):  # 1 / infinity is 0
+        np.exp(x, out=x)
+    x += np.float32(1)
+    return np.divide(np.float32(sign), x, out=x)
 
 
 class Vocabulary:
@@ -261,6 +288,21 @@ class Vocabulary:
         places[tail] = [self.class_of(words[i]) for i in tail.tolist()]
         return ranks, places
 
+    def find_all(self, texts: pa.Array):
+        """(ranks, places, where each text starts in them, words of the tokens outside the head, where they are) of all
+        texts, an end after each; a distinct word is looked up once."""
+        words, sizes = word_lists(texts)
+        coded = words.dictionary_encode()
+        distinct, code = _bytes(coded.dictionary), np.asarray(coded.indices)
+        ranks, places = (x[:-1] for x in self.find(distinct))
+        ends = np.cumsum(sizes + 1) - 1
+        is_word = np.ones(len(code) + len(sizes), bool)
+        is_word[ends] = False
+        out = [np.ones(len(is_word), np.int64), np.full(len(is_word), self.place[1])]
+        out[0][is_word], out[1][is_word] = ranks[code], places[code]
+        outside = np.flatnonzero(ranks[code] == 0)
+        return *out, ends - sizes, [distinct[i] for i in code[outside].tolist()], np.flatnonzero(is_word)[outside]
+
 
 def ending_counts(counts: DataFrame, alone: list[bytes], most: int) -> list[tuple[bytes, int, int]]:
     """(ending, occurrences, tokens) over the counted tokens but those ``alone``: the ``most`` most frequent
@@ -300,13 +342,14 @@ def fit(docs: DataFrame, n_classes: int = 1_000, dim: int = 24):
         return vocabulary, network, counts
     held = spark.sparkContext.broadcast(vocabulary)
 
-    def places(texts):
-        for text in texts:
-            yield held.value.find(tokens(text))[1]
+    def places(columns):
+        for texts in (x for c in columns for x in pieces(c)):
+            _, found, starts, _, _ = held.value.find_all(texts)
+            yield from np.split(found, starts[1:])
 
     h = F.pmod(F.xxhash64("text"), F.lit(1 << 30))
     few = docs.select("text").where((h < int((1 << 30) * min(1.0, 4 * WARM_DOCS / max(1, ends)))) & (F.length("text") <= WARM_CHARS))
-    network.train(places(r.text for r in few.orderBy(h).limit(WARM_DOCS).collect()), np.random.default_rng(1), finer)
+    network.train(places([pa.array([r.text for r in few.orderBy(h).limit(WARM_DOCS).collect()], pa.string())]), np.random.default_rng(1), finer)
     start = spark.sparkContext.broadcast((network.noise, network.dim, network.flat(), finer.flat()))
 
     def train(batches):
@@ -315,7 +358,7 @@ def fit(docs: DataFrame, n_classes: int = 1_000, dim: int = 24):
         noise, dim, flat, finer_flat = start.value
         task, words = TaskContext.get().partitionId(), held.value
         net, fine = Network(noise, dim).load(flat), Finer(words.finer_mass, words.places, dim).load(finer_flat)
-        seen = net.train(places(t.as_py() for b in batches for t in b.column(0)), np.random.default_rng([2, task]), fine)
+        seen = net.train(places(b.column(0) for b in batches), np.random.default_rng([2, task]), fine)
         if seen:
             x = np.concatenate([net.flat(), fine.flat()]) * np.float32(seen)
             parts = [x[i:i + SLICE].tobytes() for i in range(0, len(x), SLICE)]
@@ -351,50 +394,42 @@ class Scorer:
         self.base = np.log10(vocabulary.base(vocabulary.counts))
         self.classes, self.rest = k, math.log10(noise[0])
         self.a1, self.a2 = p["R"] @ p["C1"] @ p["Q"].T + p["b"], p["R"] @ p["C2"] @ p["Q"].T
-        self.log_z = np.full(k * k, np.nan)
+        # the sum over classes of exp(a1 + a2) is a product of matrices, for all contexts at once
+        top1, top2 = self.a1.max(1, keepdims=True), self.a2.max(1, keepdims=True)
+        with np.errstate(divide="ignore"):
+            self.log_z = (np.log(np.exp(self.a1 - top1) @ np.exp(self.a2 - top2).T) + top1 + top2.T).ravel()
+        for c in np.flatnonzero(self.log_z < (top1 + top2.T).ravel() - 600):  # all products lost
+            logits = self.a1[c // k] + self.a2[c % k]
+            self.log_z[c] = logits.max() + np.log(np.exp(logits - logits.max()).sum())
         self.share = np.log10(vocabulary.finer_mass) - self.rest  # a word class's base share in the other tokens
 
     def __call__(self, text):
         """(tokens, known ones of the head, base score, score, Counter of the other tokens)."""
         return next(self.many([text]))
 
-    def many(self, texts, most: int = 1 << 16):
-        """What a call gives for each text; the network runs over about ``most`` tokens at once."""
-        held, size = [], 0
-        for text in texts:
-            held.append(tokens(text))
-            size += len(held[-1]) + 1
-            if size >= most:
-                yield from self._batch(held)
-                held, size = [], 0
-        if held:
-            yield from self._batch(held)
+    def many(self, texts):
+        """What a call gives for each text (a list or an Arrow array); the network runs over about a megabyte of text at once."""
+        for part in pieces(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())):
+            yield from self._batch(part)
 
     def _batch(self, texts):
-        found = [self.vocabulary.find(words) for words in texts]
-        ranks = np.concatenate([r for r, _ in found])
-        starts = np.cumsum([0] + [len(r) for r, _ in found[:-1]])
-        p1 = np.concatenate([[1], np.concatenate([p for _, p in found])])
-        place, p2 = p1[1:], np.concatenate([[1], p1[:-2]])
-        p1, p2[starts] = p1[:-1], 1  # the token before a start is the end of the text before
+        ranks, place, starts, outside, where = self.vocabulary.find_all(texts)
+        p1 = np.concatenate([[1], place[:-1]])
+        p2 = np.concatenate([[1], p1[:-1]])
+        p2[starts] = 1  # the token before a start is the end of the text before
         w, w1, w2 = (np.where(x < self.classes, x, 0) for x in (place, p1, p2))
-        context = w1 * self.classes + w2
-        new = np.unique(context[np.isnan(self.log_z[context])])
-        for i in range(0, len(new), 2048):
-            c = new[i:i + 2048]
-            logits = self.a1[c // self.classes] + self.a2[c % self.classes]
-            top = logits.max(1)
-            self.log_z[c] = top + np.log(np.exp(logits - top[:, None]).sum(1))
-        log_p = (self.a1[w1, w] + self.a2[w2, w] - self.log_z[context]) / math.log(10)
-        in_head, other = ranks > 0, w == 0
+        log_p = (self.a1[w1, w] + self.a2[w2, w] - self.log_z[w1 * self.classes + w2]) / math.log(10)
+        in_head = ranks > 0
         base = np.where(in_head, self.base[ranks], 0)
-        at = np.flatnonzero(other)
+        at = np.flatnonzero(w == 0)
         target = place[at] - self.classes
         log_p[at] += base[at] - self.rest + self.finer.log_p(p2[at], p1[at], target) / math.log(10) - self.share[target]
         known = np.add.reduceat(in_head.astype(int), starts) if self.trained else np.zeros(len(texts), int)
-        totals = zip(known.tolist(), np.add.reduceat(base, starts).tolist(), np.add.reduceat(log_p, starts).tolist())
-        for words, (r, _), (k, b, p) in zip(texts, found, totals):
-            yield len(r), k, b, p, Counter(words[i] for i in np.flatnonzero(r[:-1] == 0))
+        sizes = np.diff(np.append(starts, len(ranks)))
+        cuts = np.searchsorted(where, np.append(starts, len(ranks))).tolist()
+        totals = zip(sizes.tolist(), known.tolist(), np.add.reduceat(base, starts).tolist(), np.add.reduceat(log_p, starts).tolist(), cuts, cuts[1:])
+        for n, k, b, p, first, last in totals:
+            yield n, k, b, p, Counter(outside[first:last])
 
 
 def score(docs: DataFrame, model) -> DataFrame:
@@ -415,7 +450,7 @@ def score(docs: DataFrame, model) -> DataFrame:
         scorer, key = Scorer(*held.value), TaskContext.get().partitionId() << 33
         tail_type = pa.list_(pa.struct([("token", pa.binary()), ("k", pa.int64())]))
         for batch in (b.slice(i, 512) for b in batches for i in range(0, b.num_rows, 512)):
-            found = list(scorer.many(t.as_py() for t in batch.column(1)))
+            found = list(scorer.many(batch.column(1)))
             tail = pa.array([[{"token": t, "k": k} for t, k in x[4].items()] for x in found], tail_type)
             columns = [pa.array([x[i] for x in found], kind) for i, kind in enumerate([pa.int64(), pa.int64(), pa.float64(), pa.float64()])]
             keys = pa.array(range(key, key + len(found)), pa.int64())

@@ -106,3 +106,27 @@ def test_parameters_grow_with_the_vocabulary(spark):
 
     small, large = classes(400), classes(6400)
     assert large > 3 * small
+
+
+def test_texts_at_once_are_found_as_word_by_word(model):
+    import pyarrow as pa
+
+    vocabulary = model[1][0]
+    texts = [None, " A\x0bb \x1c c\x85d E\n\n", "", "of the zzzqqq OF", "  ", "É İ of\r\f\x00 \x1f中"]
+    for part in (pa.array(texts, pa.string()), pa.array(texts, pa.string()).slice(1, 4)):
+        words = [lbl_score.tokens(t) for t in part.to_pylist()]
+        ranks, places, starts, outside, where = vocabulary.find_all(part)
+        want = [vocabulary.find(w) for w in words]
+        assert starts.tolist() == np.cumsum([0] + [len(w) + 1 for w in words])[:-1].tolist()
+        assert ranks.tolist() == np.concatenate([r for r, _ in want]).tolist() and places.tolist() == np.concatenate([p for _, p in want]).tolist()
+        assert outside == [w for ws in words for w in ws if w not in vocabulary.rank] and where.tolist() == np.flatnonzero(ranks == 0).tolist()
+        assert sum((x.to_pylist() for x in lbl_score.pieces(part, 4)), []) == part.to_pylist()
+
+
+def test_all_contexts_are_summed_without_an_exponential_each(model):
+    """Every context's sum over the classes is there before a text is scored."""
+    vocabulary, network, _ = model[1]
+    scorer = lbl_score.Scorer(vocabulary, network.noise, network.dim, network.flat())
+    k = scorer.classes
+    for w1, w2 in ((0, 0), (1, 1), (k - 1, 5)):
+        assert math.isclose(scorer.log_z[w1 * k + w2], np.log(np.exp(scorer.a1[w1] + scorer.a2[w2]).sum()), rel_tol=1e-12, abs_tol=1e-12)
