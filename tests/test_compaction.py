@@ -1,14 +1,16 @@
-"""Compaction beside a running stream, and the density from bins."""
+"""Compaction beside a running stream, the tasks that parse its messages, and the density from bins."""
 
 import math
 import os
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from tarmac.operators import profile
 from tarmac.sinks import compaction, writers
+from tarmac.sources import fixtures
 
 SCHEMA = StructType([StructField(c, StringType()) for c in ("id", "text", "date")])
 
@@ -74,3 +76,18 @@ def test_binned_density_is_within_its_bound(spark):
         got = {r.point: r.density for r in profile.kde_grid(df, "x", bins=bins).collect()}
         bound = (np.ptp(x) / bins) ** 2 / (8 * math.sqrt(2 * math.pi) * bw**3) + 2e-14 / bw
         assert max(abs(got.get(i, 0.0) - d) for i, d in exact.items()) <= bound
+
+
+def test_messages_of_one_row_group_are_parsed_by_several_tasks(spark, scratch):
+    n = 200_000  # one file, one row group; rows that come twice, null times and ids
+    spark.range(0, n, 1, 1).selectExpr(
+        "if(id % 1000 = 7, null, id div 2) AS event_id", "if(id % 500 = 3, null, timestamp_seconds(1704067200 + id div 2 * 26)) AS ts",
+        "xxhash64(id div 2) AS user_id", "'view' AS event_type", "1.5D AS value", "'' AS props").write.parquet(f"{scratch}/events.parquet")
+    msgs = fixtures.raw(spark, scratch, "weather_msg")
+    per = msgs.groupBy(F.spark_partition_id().alias("task")).agg(F.count(F.lit(1)).alias("rows"), F.count_distinct(F.substring("value", 11, 10)).alias("dates")).collect()
+    dates = msgs.select(F.substring("value", 11, 10)).distinct().count()
+    assert sum(r["rows"] for r in per) == n and max(r["rows"] for r in per) <= 0.6 * n
+    assert sum(r.dates for r in per) <= dates + len(per)  # a write by date leaves few files
+    plain = spark.sql(fixtures.SPARK_ADAPTERS["weather_msg"][1], events=fixtures.table(spark, scratch, "events"))
+    counts = lambda df: df.groupBy("value").count()
+    assert counts(msgs).exceptAll(counts(plain)).isEmpty() and counts(plain).exceptAll(counts(msgs)).isEmpty()
